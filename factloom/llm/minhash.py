@@ -88,7 +88,7 @@ def _verify(percent: int):
 def _within(percent: int):
     """Verified links of a block pair; both blocks are bounded by BLOCK on average."""
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):
         coord, block_a, block_b = int(key[0]), int(key[2]), int(key[3])
         sig = np.stack([np.frombuffer(x, np.uint32) for x in pdf["sig"]])
         prefix = pdf["prefix"].to_numpy().astype(np.int64)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import binary_column, crc_mod
 
@@ -100,16 +100,22 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> QualityModel:
     return QualityModel(good, bad, mean, scale, w)
 
 
-def score(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """docs(doc_id, text, ...) -> (doc_id, score), a row for each row of docs; null and empty texts get the score of no text."""
+def score_rows(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """docs(text, ...) with a column score (which replaces one of that name); null and empty texts get the score of no text."""
+    docs = docs.drop("score")
 
     def run(batches):
         made = _Compressors(model.good, model.bad)
         for batch in batches:
             x = np.array([made.features(t) for t in binary_column(batch, "text")]).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.probability(x), pa.float64())], ["doc_id", "score"])
+            yield batch.append_column("score", pa.array(model.probability(x), pa.float64()))
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+
+def score(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """docs(doc_id, text, ...) -> (doc_id, score), a row for each row of docs."""
+    return score_rows(docs.select("doc_id", "text"), model).select("doc_id", "score")
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

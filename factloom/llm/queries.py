@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import leaks, licences, minhash, mixing, pii, quality, substring
+from . import leaks, licences, lm, minhash, mixing, neighbours, pii, quality, substring, tokenfile
 from .common import table
 
 
@@ -12,6 +12,17 @@ def op1_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def tokenizer_path() -> str:
+    """The production tokenizer's file; it lies at the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -24,11 +35,19 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.read_ids(tokenfile.write_ids(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2))
+
+
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = licences.scan_licences(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"), "n_licences")
 
 
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.language_model(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
@@ -37,7 +56,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_compression, op3_minhash_dedup, op4_substring_dedup, op5_mix_sources, op7_licence_scan, op9_pii, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality_compression, op2_learned_partitions, op3_minhash_dedup, op4_substring_dedup, op5_mix_sources, op6_token_files, op7_licence_scan, op8_pitman_yor, op9_pii, op10_decontaminate)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
