@@ -36,11 +36,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write df to the shared folder and read it back, so a lost executor loses nothing."""
+    """Cut the lineage: write df to the shared folder and read it back, so a lost executor loses nothing.
+
+    The driver's collection afterwards lets Spark delete the shuffle files of the plan that has ended.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/factloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete a table of materialize() that nothing needs any more."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(df._written)
+    path.getFileSystem(conf).delete(path, True)
 
 
 def binary_column(batch: pa.RecordBatch, name: str) -> list:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordHashes, binary_column, gram_hashes, materialize
+from .common import WordHashes, binary_column, gram_hashes, materialize, release
 
 GRAM = 6
 _BASE2 = 0xD6E8FEB86659FD93
@@ -148,11 +148,14 @@ def remove_repeats(docs: DataFrame, length: int = 20) -> DataFrame:
     keyed = docs.where("doc_id is not null").select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
     first_copy = keyed.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last")
     copies = materialize(keyed.join(first_copy, "text_key").where("doc_id <> first").select("doc_id").distinct())
-    seeds = seeds.join(copies, "doc_id", "left_anti")
+    seeds = materialize(seeds.join(copies, "doc_id", "left_anti"))
+    release(found)
     windows = materialize(docs.join(seeds, "doc_id").select("doc_id", "text", "seeds").mapInArrow(_windows(length), "h1 long, h2 int, doc_id long, at int"))
     here = F.struct("doc_id", "at")
-    first = windows.groupBy("h1", "h2").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first <> last").select("h1", "h2", "first")
+    first = windows.groupBy("h1", "h2").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first")
     later = windows.join(first, ["h1", "h2"]).where(here > F.col("first")).groupBy("doc_id").agg(F.collect_set("at").alias("starts"))
+    later = materialize(later)
+    release(windows)
     marks = later.withColumn("copy", F.lit(False)).unionByName(copies.select("doc_id", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copy")))
     out = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<start:long,end:long>>"
     return docs.join(marks, "doc_id", "left").select("doc_id", "text", "starts", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_keep(length), out)
