@@ -3,8 +3,10 @@
 import json
 import random
 import re
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from factloom.config import Settings
@@ -15,6 +17,9 @@ from factloom.schemas import DEAL_FIELDS, PAGE
 from factloom.sources import files
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def one(spark, column, **values):
     return spark.createDataFrame([tuple(values.values())], list(values)).select(column.alias("x")).first()["x"]
 
@@ -38,7 +43,7 @@ def hits(spark, text):
 
 
 def test_section_hits(spark):
-    assert hits(spark, "intro\n## 第一节 概述\nbody\n一、方案\nmore\n### Heading\nend") == [(6, "第一节 概述"), (20, "一、方案"), (30, "Heading")]
+    assert hits(spark, "intro\n## 第一节 概述\nbody\n一、方案\nmore\n### Heading\nend") == [(6, "第一节 概述"), (21, "一、方案"), (31, "Heading")]
     assert hits(spark, "nothing here") == []
     assert hits(spark, "#### too deep\ntext") == []
     assert hits(spark, "# " + "x" * 31) == []
