@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import WordHashes, binary_column, materialize, shingle_set
 from .components import components
 
-K, T, BLOCK = 32, 16, 512
+K, T, BLOCK = 32, 16, 1024
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(1, 2**63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, K, dtype=np.uint64)
