@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import os
 import zlib
 
@@ -18,7 +17,7 @@ BLOCK_IDS, MEMO = 1 << 20, 600_000
 
 
 class Words(dict):
-    """ids of words that stand between white space; texts are encoded word by word, as the tokenizer's words never cross it."""
+    """Word -> its ids as int32 bytes; texts are encoded word by word, as the tokenizer's words never cross white space."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -32,13 +31,14 @@ class Words(dict):
         if len(self) + len(new) > MEMO:
             self.clear()
             new = list(set().union(*texts))
-        for word, e in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            self[word] = e.ids
+        for word, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
+            self[word] = np.array(e.ids, np.int32).tobytes()
 
 
 def _encode(path: str, end_id: int):
     def run(batches):
         memo = Words(path)
+        end = np.int32(end_id).tobytes()
         part, block = TaskContext.get().partitionId(), 0
         docs, counts, parts, size = [], [], [], 0
 
@@ -52,7 +52,7 @@ def _encode(path: str, end_id: int):
                 split = [(t or b"").split() for t in texts[at : at + 200]]
                 memo.learn(split)
                 for i, words in zip(ids[at : at + 200], split):
-                    x = np.fromiter(itertools.chain(itertools.chain.from_iterable(map(memo.__getitem__, words)), (end_id,)), np.int32)
+                    x = np.frombuffer(b"".join(map(memo.__getitem__, words)) + end, np.int32)
                     docs.append(i)
                     counts.append(len(x))
                     parts.append(x)
