@@ -4,7 +4,8 @@
 2. Every (coordinate, value) of a signature is a posting. Postings that only one representative has collide with
    nothing and are left out. Two representatives that agree in at least T of K coordinates must share one among the
    K - T + 1 rarest of either, so only that prefix is posted.
-3. Each representative is verified against the smallest one of each of its posting lists; links merge into components.
+3. Each representative is verified against the smallest one of each of its posted lists, the smallest of those that post
+   it; links merge into components. A list of two is settled by this.
 4. Lists that still hold several components are cut into blocks. Block pairs count collisions, skip pairs already
    merged, pairs under T, and pairs that an earlier shared posting covers, and verify the rest on the full sets.
 5. The components of all links are the result.
@@ -136,7 +137,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     hexed = F.hex("sig")
     posted = reps.select("rep", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(K - 1)), lambda i: F.substring(hexed, i * 8 + 1, F.lit(8)))).alias("coord", "value"))
     posted = posted.select("rep", F.col("coord").cast("byte").alias("coord"), F.conv("value", 16, 10).cast("long").alias("value"))
-    lists = posted.groupBy("coord", "value").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).where("n > 1")
+    lists = posted.groupBy("coord", "value").agg(F.count("*").alias("n")).where("n > 1")
     multi = posted.join(lists, ["coord", "value"])
     # the rest of the K coordinates collide with nothing and are the rarest
     rank = F.row_number().over(Window.partitionBy("rep").orderBy("n", "coord"))
@@ -149,7 +150,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         texts.join(wanted.join(reps, "rep"), F.col("doc_id") == F.col("rep"), "inner").select("rep", "sig", "text").mapInArrow(_sets(words), "rep long, sig binary, set binary")
     )
     one = sets.groupBy("rep").agg(F.first("sig").alias("sig"), F.first("set").alias("set")) if _repeats(sets) else sets
-    pairs = multi.where("leader <> rep").select("rep", "leader").distinct()
+    heads = multi.groupBy("coord", "value").agg(F.min("rep").alias("leader"))
+    pairs = multi.select("rep", "coord", "value").join(heads, ["coord", "value"]).where("leader <> rep").select("rep", "leader").distinct()
     joined = pairs.join(one.select("rep", F.col("set").alias("set_a")), "rep").join(one.select(F.col("rep").alias("leader"), F.col("set").alias("set_b")), "leader")
     links = materialize(joined.select("rep", "leader", "set_a", "set_b").mapInArrow(_verify(percent), "u long, v long"))
     found = components(links)

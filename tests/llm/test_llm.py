@@ -88,6 +88,18 @@ def test_a_large_group_loses_no_link(spark):
     assert got == {i: root(i) for i in sets}
 
 
+def test_a_quoted_passage_hides_no_pair(spark):
+    """Two near-copies of a passage whose shingles smaller doc_ids quote among words of their own are linked, and nothing else."""
+    passage = [f"p{k}" for k in range(100)]
+    texts = [(i, " ".join([f"q{i}x{k}" for k in range(3)] + passage[i % 98 : i % 98 + 3] + [f"r{i}x{k}" for k in range(3)])) for i in range(1, 393)]
+    texts += [(1001, " ".join([*passage, "one", "end"])), (1002, " ".join([*passage, "other", "close"]))]
+    sets = {i: {tuple(t.split()[k : k + 3]) for k in range(len(t.split()) - 2)} for i, t in texts}
+    linked = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    assert linked == [(1001, 1002)]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(texts, SCHEMA), 3, 85).collect()}
+    assert got == {i: 1001 if i == 1002 else i for i in sets}
+
+
 def test_substring_removal(spark, docs, rows):
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring.remove_repeats(docs, 20).collect()}
     seen, want = set(), {}
