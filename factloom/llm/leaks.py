@@ -2,7 +2,7 @@
 
 1. Words of texts and items are lower-cased letters and digits; the 5-word shingles of the (small) benchmark meet those
    of every document. A window that is similar to an item shares a shingle with it, so nothing else needs a fingerprint.
-2. Each shared shingle gives an item-sized window of the document, aligned with the item.
+2. Every item-sized window of the document that holds as many shared shingles as similarity 0.8 needs is taken.
 3. Windows and items get 64-bit SimHash fingerprints over their shingles. The 64 bits are cut into RADIUS + 1 blocks;
    fingerprints within RADIUS agree in one block, so the join on (window size, block, its bits) misses none of them.
 4. Pairs within RADIUS are verified: weighted Jaccard over shingle counts, at least 0.8.
@@ -67,6 +67,25 @@ def _similarity(a: Column, b: Column) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
+def _starts(ats: Column, need: Column, whole: Column, last: Column) -> Column:
+    """Starts, up to `last`, of the windows of `whole` shingles that hold at least `need` of the sorted places.
+
+    Each run of `need` places in a row gives the starts that hold it; what the run before has given is left out.
+    """
+
+    def held(i: Column) -> Column:
+        low = F.greatest(F.lit(0), F.get(ats, i + need - 1) - whole + 1, F.coalesce(F.get(ats, i - 1) + 1, F.lit(0)))
+        high = F.least(F.get(ats, i), last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(ats) - need), held))
+
+
+def _cut(place: Column) -> Column:
+    n = place.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+    return F.struct(n.alias("n"), F.slice("words", F.shiftright(place, 31).cast("int") + 1, n).alias("words"))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """docs(doc_id, text, ...), benchmark(item_id, text, ...) -> (doc_id, contaminated, n_items, similarity, item_ids).
 
@@ -85,17 +104,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: floa
             seeds = F.broadcast(seeds)
         cut = docs.where("doc_id is not null").select("doc_id", _words("text").alias("words")).select("doc_id", F.size("words").alias("total"), _shingles(F.col("words"), gram).alias("hashes"))
         found = cut.select("doc_id", "total", F.posexplode_outer("hashes").alias("at", "h")).join(seeds, "h")
-        start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("off"), F.col("total") - F.col("n")))
-        # a window at `least` shares that part of the item's shingles, and the document cannot share fewer
-        found = found.groupBy("doc_id", "item_id", "n").agg(F.count("*").alias("shared"), F.collect_set(start).alias("starts")).where(F.col("shared") >= least * (F.col("n") - gram + 1))
+        found = found.groupBy("doc_id", "total", "item_id", "n").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+        # similarity c / (x + y - c) >= least for sizes x and y needs c >= least * (x + y) / (1 + least) shared places
+        whole = F.col("n") - gram + 1
+        need = F.ceil(least / (1 + least) * (whole + F.least(F.col("n"), F.col("total")) - gram + 1) - 1e-9).cast("int")
+        found = found.withColumn("need", F.greatest(need, F.lit(1))).where(F.size("ats") >= F.col("need"))
+        found = found.select("doc_id", "item_id", "n", _starts(F.col("ats"), F.col("need"), whole, F.greatest(F.col("total") - F.col("n"), F.lit(0))).alias("starts"))
+        found = found.where(F.size("starts") > 0)
         hits = found if hits is None else hits.unionByName(found)
     ids = docs.select("doc_id")
     if hits is None:
         return ids.select("doc_id", F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_items"), F.lit(0.0).alias("similarity"), F.array().cast("array<bigint>").alias("item_ids"))
-    places = hits.select("doc_id", F.transform("starts", lambda x: F.struct(x.alias("start"), F.col("n"))).alias("places"))
+    # a place is a number, start * 2**31 + n: array_distinct compares structs pair by pair
+    places = hits.select("doc_id", F.transform("starts", lambda x: F.shiftleft(x.cast("long"), 31) + F.col("n")).alias("places"))
     places = places.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
     held = docs.select("doc_id", "text").join(places, "doc_id").select("doc_id", "places", _words("text").alias("words"))
-    windows = held.select("doc_id", F.explode_outer(F.transform("places", lambda p: F.struct(p["n"].alias("n"), F.slice("words", p["start"] + 1, p["n"]).alias("words")))).alias("w"))
+    windows = held.select("doc_id", F.explode_outer(F.transform("places", _cut)).alias("w"))
     windows = windows.select("doc_id", F.col("w.n").alias("n"), _whole(F.col("w.words"), size).alias("of_window")).distinct()
     windows = _with_fingerprint(windows, "of_window", "fp")
     cards = _with_fingerprint(items.select("item_id", "n", F.col("shingles").alias("of_item")), "of_item", "item_fp")

@@ -276,3 +276,24 @@ def test_leaks(spark):
     assert dict(got) == {1: [0, 1], 2: [1], 3: [], 4: [5], 5: [], 6: [], None: [], 7: [1]} and len(got) == len(docs)
     assert leaks.find_leaks(empty(spark), bench).count() == 0
     assert not any(r["contaminated"] for r in leaks.find_leaks(spark.createDataFrame(docs, SCHEMA), bench.where("false")).collect())
+
+
+def test_leaks_with_a_moved_sentence(spark):
+    """Against brute force over all windows of an item's size."""
+    rng = random.Random(3)
+    say = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    items = {0: say(60), 1: say(45), 2: ["go"] * 7 + say(10)}
+    a, b, c = items.values()
+    texts = {1: say(50) + a[50:] + a[:50] + say(50), 2: say(9) + b[22:] + b[:22] + say(30), 3: a[50:] + a[:50], 4: say(20) + a[30:] + a[:30], 5: ["go"] * 40 + c[7:], 6: say(7) + a[:55], 7: a[:56], 8: say(80)}
+    grams = lambda w: Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    want = {}
+    for i, w in texts.items():
+        best = {}
+        for k, item in items.items():
+            y = grams(item)
+            best[k] = max((x & y).total() / (x | y).total() for x in (grams(w[s : s + len(item)]) for s in range(max(1, len(w) - len(item) + 1))))
+        want[i] = ([k for k in best if best[k] >= 0.8], max([0.0, *(v for v in best.values() if v >= 0.8)]))
+    assert want[1][0] == [0]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    got = leaks.find_leaks(spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], SCHEMA), bench).collect()
+    assert {r["doc_id"]: (r["item_ids"], pytest.approx(r["similarity"])) for r in got} == want
