@@ -4,19 +4,32 @@ Each source is cut into blocks of BLOCK documents. With weight w, its block j ma
 must be placed before slot ceil((j + 1) / w); at each slot the released block with the earliest deadline is taken (ties:
 the source that sorts first). After t slots every source has had more than w t - 1 and less than w t + 1 blocks.
 
-Weights are rounded to multiples of 1 / Q, so the schedule repeats every Q slots with no deviation left. Only this period
-is simulated, on the driver (Q bounded by the number of sources); the slot of any block is then arithmetic on its number.
+Weights are exact: integers over their sum. The driver simulates every block of the mix once, in time that grows with the
+number of blocks (one for BLOCK rows of the mix); rows then find the slots of their block by a join.
 """
 
 from __future__ import annotations
 
 import heapq
+from fractions import Fraction
+from math import lcm
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import materialize
 
-BLOCK, BUCKET, PERIOD = 32, 256, 4096
+BLOCK, BUCKET = 32, 256
+#: Up to so many slots are broadcast (32 bytes each); more are joined by a shuffle.
+BROADCAST_SLOTS = 500_000
+
+
+def shares(weights: dict) -> dict:
+    """Positive weights as integers in exactly their ratios."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = lcm(*(x.denominator for x in exact.values()))
+    return {s: int(x * scale) for s, x in exact.items()}
 
 
 def quotas(weights: dict, period: int) -> dict:
@@ -36,21 +49,28 @@ def quotas(weights: dict, period: int) -> dict:
     return out
 
 
-def schedule(quota: dict, period: int) -> dict:
-    """Slots of each source's blocks within a period, by earliest deadline first."""
+def schedule(quota: dict, period: int, blocks: dict | None = None) -> dict:
+    """Slots of each source's blocks by earliest deadline first, with weights quota / period.
+
+    Covers one period or, given `blocks`, all slots until each source has given so many blocks.
+    """
     rank = {s: k for k, s in enumerate(sorted(quota, key=lambda s: (s is None, str(s))))}
     slots = {s: [] for s in quota}
     waiting = [(0, rank[s], s, 0) for s in quota]
     heapq.heapify(waiting)
     ready: list = []
-    for t in range(period):
+    short = set(blocks or ())
+    t = 0
+    while short if blocks is not None else t < period:
         while waiting and waiting[0][0] <= t:
             _, k, s, j = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(j + 1) * period // quota[s]), k, s, j))
         _, k, s, j = heapq.heappop(ready)
         slots[s].append(t)
-        if j + 1 < quota[s]:
-            heapq.heappush(waiting, ((j + 1) * period // quota[s], k, s, j + 1))
+        heapq.heappush(waiting, ((j + 1) * period // quota[s], k, s, j + 1))
+        if s in short and j + 1 >= blocks[s]:
+            short.remove(s)
+        t += 1
     return slots
 
 
@@ -71,16 +91,16 @@ def mix(docs: DataFrame, weights: dict | None = None, alpha: float = 0.9) -> Dat
     if weights is None:
         weights = {s: n**alpha for s, n in counts.items()}
     low = min(weights.values(), default=1.0)
-    period = PERIOD
-    while period < 16 * len(counts):
-        period *= 2
-    quota = quotas({s: weights.get(s, low) for s in counts}, period)
-    slots = schedule(quota, period)
+    quota = shares({s: weights.get(s, low) for s in counts})
     blocks = {s: -(-n // BLOCK) for s, n in counts.items()}
-    end = max((b - 1) // quota[s] * period + slots[s][(b - 1) % quota[s]] + 1 for s, b in blocks.items())
-    times = {s: end // period * quota[s] + sum(x < end % period for x in slots[s]) for s in counts}
+    slots = schedule(quota, sum(quota.values()), blocks)
     spark = docs.sparkSession
-    plan = spark.createDataFrame([(s, quota[s], blocks[s], times[s], slots[s]) for s in counts], f"source {docs.schema['source'].dataType.simpleString()}, quota long, blocks long, times long, slots array<int>")
+    numbers = spark.createDataFrame([(s, k) for k, s in enumerate(counts)], f"_s {docs.schema['source'].dataType.simpleString()}, _number long")
+    j = [np.arange(len(slots[s]), dtype=np.int64) for s in counts]
+    columns = [[np.full(len(x), k, np.int64) for k, x in enumerate(j)], [x % blocks[s] for s, x in zip(counts, j)], [x // blocks[s] for s, x in zip(counts, j)], [np.array(slots[s], np.int64) for s in counts]]
+    plan = spark.createDataFrame(pa.table([np.concatenate(x) for x in columns], ["_number", "source_block", "epoch", "slot"]))
+    if sum(map(len, slots.values())) <= BROADCAST_SLOTS:
+        plan = F.broadcast(plan)
 
     # ranks within a source without sorting it in one task: small hash buckets, then counts of the buckets before
     buckets = max(1, sum(counts.values()) // BUCKET)
@@ -95,11 +115,7 @@ def mix(docs: DataFrame, weights: dict | None = None, alpha: float = 0.9) -> Dat
     row = F.row_number().over(Window.partitionBy("source", "_bucket").orderBy("doc_id")) - 1
     ranked = keyed.withColumn("_row", row).join(before, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_b")))
     ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_row"))
-    plan = plan.withColumnsRenamed({"source": "_s", "quota": "_quota", "blocks": "_blocks", "times": "_times", "slots": "_slots"})
-    out = ranked.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("_s")))  # one row for each source
-    out = out.withColumn("source_block", F.floor(F.col("_rank") / BLOCK)).withColumn("place", F.col("_rank") % BLOCK)
-    out = out.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_times") - 1 - F.col("source_block")) / F.col("_blocks")))))
-    j = F.col("epoch") * F.col("_blocks") + F.col("source_block")
-    slot = F.floor(j / F.col("_quota")) * period + F.get("_slots", (j % F.col("_quota")).cast("int"))
-    out = out.withColumn("slot", slot.cast("long"))
+    out = ranked.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("_s")))  # one row for each source
+    out = out.withColumn("source_block", F.floor(F.col("_rank") / BLOCK).cast("long")).withColumn("place", F.col("_rank") % BLOCK)
+    out = out.join(plan, ["_number", "source_block"])  # one row for each epoch
     return out.select(*docs.columns, *[F.col(c).cast("long").alias(c) for c in made])

@@ -174,6 +174,18 @@ def test_mix_places_every_row(spark):
     assert mixing.mix(spark.createDataFrame([], "doc_id long, source string")).count() == 0
 
 
+def test_mix_deviates_by_less_than_a_block_from_the_given_weights(spark):
+    """Over many thousand slots, with a source whose weight is under 1 / 4096."""
+    weights = {"big": 0.7, "mid": 0.29995, "tiny": 0.00005}
+    n = 320_000
+    docs = spark.range(n).selectExpr("id AS doc_id", f"CASE WHEN id < 64 THEN 'tiny' WHEN id < {n} * 0.3 THEN 'mid' ELSE 'big' END AS source")
+    at = dict(mixing.mix(docs, weights).select("slot", "source").distinct().toPandas().itertuples(index=False))
+    assert sorted(at) == list(range(len(at))) and len(at) >= 20_000  # the tiny source's second block is released at slot 20,000
+    order = np.array([at[t] for t in range(len(at))])
+    for s, w in weights.items():
+        assert np.abs(np.cumsum(order == s) - w * np.arange(1, len(at) + 1)).max() < 1
+
+
 @pytest.mark.parametrize("n", [1, 2, 511, 513, 5000, 40_000])
 def test_ids_come_back(n):
     rng = np.random.default_rng(n)
