@@ -37,9 +37,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.select(docs.columns)
 
 
-def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encodes the texts, writes coded blocks and returns the documents' places as read back from them."""
-    return tokenfile.read_ids(tokenfile.write_ids(docs, tokenizer_path()))
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, order: tuple = ("doc_id",)) -> DataFrame:
+    """Encodes the texts, writes coded blocks in the given order and returns the documents' places as read back from them."""
+    return tokenfile.read_ids(tokenfile.write_ids(docs, tokenizer_path(), order=order))
 
 
 STAGES = [
@@ -55,9 +55,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; slot and place are carried from the mix to the token files, which are written in the mix's order."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        if stage is mix_sources:
+            docs = mixing.mix(docs)
+        elif stage is write_tokens:
+            docs = write_tokens(spark, docs, sf_dir, ("slot", "place"))
+        else:
+            docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialize(docs)
     return docs

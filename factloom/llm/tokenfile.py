@@ -1,4 +1,4 @@
-"""Token-id files: texts to ids in order of doc_id, coded in blocks by idcoder, written and read back through Spark."""
+"""Token-id files: texts to ids in a given order, by default of doc_id, coded in blocks by idcoder, written and read back through Spark."""
 
 from __future__ import annotations
 
@@ -66,14 +66,14 @@ def _encode(path: str, end_id: int):
     return run
 
 
-def write_ids(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
-    """docs(doc_id, text, ...) -> the written files: (part, block, n_ids, frame), in order of doc_id by (part, block).
+def write_ids(docs: DataFrame, path: str, end_id: int = 2, order: tuple = ("doc_id",)) -> DataFrame:
+    """docs(doc_id, text, ...) -> the written files: (part, block, n_ids, frame), by (part, block) in the order of `order`.
 
     frame is a block that idcoder.decode_block reads by itself. Null texts are empty and have the end id alone; rows
-    without doc_id come first; rows that share a doc_id stand together, in no fixed order. path: a tokenizer's file, the
+    without doc_id come first in order of doc_id; rows that are equal in `order` stand together, in no fixed order. path: a tokenizer's file, the
     same on all machines.
     """
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = docs.select(*dict.fromkeys(["doc_id", "text", *order])).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     return materialize(ordered.mapInArrow(_encode(path, end_id), "part long, block long, n_ids long, frame binary"))
 
 

@@ -31,3 +31,17 @@ def test_stages(spark):
     rows = sorted((r["start"], r["n_tokens"], r["doc_id"]) for r in out)
     assert [r[2] for r in rows] == sorted(r[2] for r in rows)
     assert all(a[0] + a[1] == b[0] for a, b in zip(rows, rows[1:]))
+
+
+def test_token_files_are_in_the_order_of_the_mix(spark, tmp_path, monkeypatch):
+    """Every prefix of the files holds each source by its weight, to a block of the mix and the one begun."""
+    n = {"a": 3000, "b": 1000, "c": 500}
+    names = [s for s, k in n.items() for _ in range(k)]
+    rows = [(i, f"word {i}", s) for i, s in enumerate(names)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(cp, "STAGES", cp.STAGES[-2:])
+    out = sorted((r["start"], r["doc_id"]) for r in cp.run(spark, str(tmp_path)).collect())
+    total, given = sum(k**0.9 for k in n.values()), Counter()
+    for t, (_, i) in enumerate(out, 1):
+        given[names[i]] += 1
+        assert all(abs(given[s] - k**0.9 / total * t) < 96 for s, k in n.items())
