@@ -2,64 +2,198 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import sys
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from . import idcoder
-from .common import binary_column, materialize
+from .common import materialize
 
-BLOCK_IDS, MEMO = 1 << 20, 600_000
+BLOCK_IDS, MEMO = 1 << 21, 1_000_000
+# Fixed value: the pre-tokenizer's pattern under which texts may be encoded word by word. It keeps no white space, so no
+# token crosses it, takes a run of letters as one piece, and a run of other signs after it as another.
+_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-class Words(dict):
-    """Word -> its ids as int32 bytes; texts are encoded word by word, as the tokenizer's words never cross white space."""
+def words_apart(path: str) -> bool:
+    """Whether the tokenizer's file says that texts are lower-cased, cut by _APART and ended word by word."""
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    steps = [n.get("type") for n in (made.get("normalizer") or {}).get("normalizers", [])]
+    cut = ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    fine = cut.get("type") == "Split" and (cut.get("pattern") or {}).get("Regex") == _APART and cut.get("behavior") == "Removed" and cut.get("invert")
+    return bool(fine) and steps == ["NFC", "Replace", "Lowercase"] and made["model"].get("end_of_word_suffix") == "</w>" and not any(" " in t["content"] for t in made["added_tokens"])
+
+
+def _letters(words: pa.Array) -> pa.Array:
+    """Whether words are letters alone and stay so: composed, and without the one letter whose lower case has a mark."""
+    plain = pc.and_(pc.equal(words, pc.utf8_normalize(words, "NFC")), pc.invert(pc.match_substring(words, "\u0130")))
+    return pc.and_(pc.utf8_is_alpha(words), plain)
+
+
+class _Places(dict):
+    """word -> its place in `words`, which grows with each new word."""
+
+    def __init__(self):
+        super().__init__()
+        self.words: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        found = self[word] = len(self.words)
+        self.words.append(word)
+        return found
+
+
+class Encoder:
+    """Texts to ids by the tokenizer of a file; ids of words are kept, up to MEMO of them, as one array with their places.
+
+    Where words_apart() does not hold, whole texts are encoded instead.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
-
-    def learn(self, texts: list[list[bytes]]) -> None:
-        new = list(set().union(*texts).difference(self))
-        if len(self) + len(new) > MEMO:
-            self.clear()
-            new = list(set().union(*texts))
-        for word, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self[word] = np.array(e.ids, np.int32).tobytes()
+        self.apart = words_apart(path)
+        if self.apart:
+            # for runs of letters between single spaces the pattern and the replacement of white space change nothing
+            self.letters = Tokenizer.from_file(path)
+            self.letters.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+            self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.ends = np.zeros(self.vocabulary, bool)
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+            self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+            self.forget()
+
+    def forget(self) -> None:
+        self.number = _Places()
+        self.words = self.number.words
+        self.ids, self.used = np.empty(1 << 20, np.int32), 0
+        self.start, self.size = np.empty(1 << 18, np.int64), np.empty(1 << 18, np.int64)
+
+    def _store(self, at: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
+        while len(self.words) > len(self.start):
+            self.start, self.size = (np.concatenate((x, np.empty_like(x))) for x in (self.start, self.size))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.start[at] = self.used + np.cumsum(sizes) - sizes
+        self.size[at] = sizes
+        self.used += len(ids)
+
+    def _exact(self, at: list[int]) -> None:
+        """Words one by one, as texts of their own."""
+        if at:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast([self.words[k] for k in at], add_special_tokens=False)]
+            self._store(np.array(at), np.array([len(x) for x in ids]), np.array([i for x in ids for i in x], np.int32))
+
+    def _learn(self, first: int) -> None:
+        """Ids of all words from place `first` on; words of letters and signs are put together from both."""
+        whole = pa.array(self.words[first:], pa.string())
+        letters = _letters(whole).to_numpy(zero_copy_only=False)
+        stems = pc.utf8_rtrim(whole, characters=_SIGNS)
+        mixed = pc.and_(pc.and_(_letters(stems), pc.invert(pc.equal(stems, whole))), pc.invert(pc.match_substring_regex(whole, "|".join(map(re.escape, self.special)) or r"\z\A"))).to_numpy(zero_copy_only=False)
+        joined = []
+        at = np.nonzero(mixed)[0]
+        for k, word, stem in zip(at.tolist(), whole.take(pa.array(at)).to_pylist(), stems.take(pa.array(at)).to_pylist()):
+            joined.append((first + k, self.number[stem], self.number[word[len(stem) :]]))
+        if len(self.words) > first + len(whole):  # stems and signs that were no words yet
+            self._learn(first + len(whole))
+        for a in range(0, len(at := np.nonzero(letters)[0]), 1000):
+            some = at[a : a + 1000]
+            text = " ".join(whole.take(pa.array(some)).to_pylist())
+            ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            last = np.nonzero(self.ends[ids])[0]
+            if len(last) == len(some) and last[-1] == len(ids) - 1:  # one piece, hence one end, for each word
+                self._store(first + some, np.diff(last, prepend=-1), ids)
+            else:
+                self._exact((first + some).tolist())
+        self._exact((first + np.nonzero(~letters & ~mixed)[0]).tolist())
+        if joined:
+            at, x, y = (np.array(c) for c in zip(*joined))
+            both = np.column_stack((x, y)).ravel()
+            self._store(at, self.size[x] + self.size[y], self._gather(both))
+
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        size = self.size[at]
+        return self.ids[np.repeat(self.start[at] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each has."""
+        texts = texts.fill_null("")
+        if not self.apart:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
+        if len(self.words) > MEMO:
+            self.forget()
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        ends = np.cumsum(np.concatenate(([0], pc.list_value_length(split).to_numpy())))
+        coded = split.flatten().dictionary_encode()
+        first = len(self.words)
+        distinct = coded.dictionary.to_pylist()
+        place = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        if len(self.words) > first:
+            self._learn(first)
+        at = place[coded.indices.to_numpy()]
+        bounds = np.concatenate(([0], np.cumsum(self.size[at])))
+        return self._gather(at), np.diff(bounds[ends])
+
+
+def slices(texts: pa.Array, most: int = 1 << 24):
+    """(from, to) of runs of texts of about so many bytes; a longer text is a run of its own."""
+    size = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = np.cumsum(size) // most
+    cut = np.concatenate(([0], np.nonzero(np.diff(group))[0] + 1, [len(size)]))
+    return [(a, b) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()) if b > a]
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder for each worker process and file, kept from task to task; what it remembers changes no result."""
+    kept = sys.modules.setdefault("_token_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 def _encode(path: str, end_id: int):
     def run(batches):
-        memo = Words(path)
-        end = np.int32(end_id).tobytes()
+        made = encoder(path)
         part, block = TaskContext.get().partitionId(), 0
         docs, counts, parts, size = [], [], [], 0
 
         def flush():
-            frame = idcoder.encode_block(docs, counts, np.concatenate(parts), memo.vocabulary)
+            frame = idcoder.encode_block(docs, counts, np.concatenate(parts), made.vocabulary)
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([block], pa.int64()), pa.array([size], pa.int64()), pa.array([frame], pa.binary())], ["part", "block", "n_ids", "frame"])
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), binary_column(batch, "text")
-            for at in range(0, len(ids), 200):
-                split = [(t or b"").split() for t in texts[at : at + 200]]
-                memo.learn(split)
-                for i, words in zip(ids[at : at + 200], split):
-                    x = np.frombuffer(b"".join(map(memo.__getitem__, words)) + end, np.int32)
-                    docs.append(i)
-                    counts.append(len(x))
-                    parts.append(x)
-                    size += len(x)
-                    if size >= BLOCK_IDS:
-                        yield flush()
-                        docs, counts, parts, size, block = [], [], [], 0, block + 1
+            texts = batch.column(batch.schema.names.index("text"))
+            for a, b in slices(texts):
+                some = batch.column(0)[a:b].to_pylist()
+                x, n = made.encode(texts[a:b])
+                ends = np.cumsum(n + 1)
+                with_end = np.empty(len(x) + len(some), np.int32)
+                with_end[ends - 1] = end_id
+                text_ids = np.ones(len(with_end), bool)
+                text_ids[ends - 1] = False
+                with_end[text_ids] = x
+                docs += some
+                counts += (n + 1).tolist()
+                parts.append(with_end)
+                size += len(with_end)
+                if size >= BLOCK_IDS:
+                    yield flush()
+                    docs, counts, parts, size, block = [], [], [], 0, block + 1
         if docs:
             yield flush()
 
