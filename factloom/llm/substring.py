@@ -441,6 +441,7 @@ def remove_repeats(docs: DataFrame, length: int = 20) -> DataFrame:
     Other columns are not read. An empty table gives an empty table.
     """
     docs = docs.select("doc_id", "text")
-    marked = docs.join(find_repeats(docs, length), "doc_id", "left").select("doc_id", "text", "spans")
+    # joined by a shuffle at every size: documents with repeats grow with the input
+    marked = docs.join(find_repeats(docs, length).hint("merge"), "doc_id", "left").select("doc_id", "text", "spans")
     out = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<start:long,end:long>>"
     return marked.mapInArrow(_keep, out)
