@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import binary_column, gram_hashes, materialize, release
 from .packed import by_part, column, framed, only, pack, pack_sorted, rows_table, unframed, unpack, unpack_sorted
 
-GRAM, PIECE = 6, 2_000_000
+GRAM, PIECE = 6, 1_500_000
 _BASE2 = 0xD6E8FEB86659FD93
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
