@@ -1,16 +1,21 @@
 """Approximate nearest neighbours with learned partitions.
 
-On a bounded sample (SAMPLE distinct vectors, by hash of the vector) the exact neighbour graph is built and cut into
+On a bounded sample (SAMPLE distinct vectors, by hash of the vector's id) the exact neighbour graph is built and cut into
 balanced partitions: a recursive bisection starts it, and sweeps then move vectors to the partition that holds most of
 their neighbours while sizes stay within SLACK. A small softmax classifier learns the partitions. It puts every vector of
 the table into its most probable partition and sends each query to the most probable ones, whose vectors are reranked by
 exact distance in double precision. How many that are is measured: a fifth of the sample is kept from the classifier, and
-the probes are the fewest that reach RECALL of those vectors' neighbours. Vectors without any structure need most of the
-partitions, clustered ones few.
+the probes are the fewest that reach RECALL of those vectors' neighbours in the sample. (Neighbours in the whole table are
+nearer than those, hence likelier to share the partition.) Vectors without any structure need most of the partitions,
+clustered ones few.
+
+There is a partition for every PER_PARTITION distinct vectors, two at least and MOST at most, as the sample must hold
+enough of each; under SMALLEST vectors there is nothing to cut and one partition.
 
 Equal vectors are one entry with its k + 1 smallest ids: no further id can be among the k nearest, as ties go to smaller
 ids, so a vector that a third of the rows share costs one entry and nothing is lost. Partitions are split into hashed
-pieces of about PIECE entries, and queries go to each piece, so no task grows with a large partition.
+pieces of about PIECE entries, and the queries of a partition into blocks of about QUERIES, so no task grows with a large
+partition or with the queries sent to it.
 """
 
 from __future__ import annotations
@@ -21,7 +26,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import materialize
 
-SAMPLE, PER_PARTITION, MOST, SLACK, GRAPH, RECALL, PIECE = 12_288, 1024, 128, 1.15, 10, 0.95, 2048
+SAMPLE, PER_PARTITION, MOST, SLACK, GRAPH, RECALL = 16_384, 512, 512, 1.15, 10, 0.95
+PIECE, QUERIES, SMALLEST = 2048, 4096, 40
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dim: int, dtype) -> np.ndarray:
@@ -148,7 +154,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     entries = materialize(good.dropDuplicates(["vec_id"]).withColumn("rank", rank).where(f"rank <= {k + 1}"))
     distinct = entries.where("rank = 1")
     n = distinct.count()
-    parts = int(np.clip(n // PER_PARTITION, 1, MOST))
+    parts = int(np.clip(n // PER_PARTITION, 2, MOST)) if n >= SMALLEST else 1
     if parts > 1:
         sample = distinct.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow()
         x = _matrix(sample.column(0), dim, np.float32)
@@ -174,9 +180,13 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     index = materialize(entries.select("vec_id", "embedding").mapInArrow(assign, f"vec_id long, embedding {kind}, part int"))
     pieces = index.groupBy("part").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))  # one row for each of at most MOST partitions
     queries = good.dropDuplicates(["vec_id"]).where(f"vec_id % {every} = 0").select("vec_id", "embedding").mapInArrow(route, f"query_id long, query {kind}, parts array<int>")
-    queries = queries.select("query_id", "query", F.explode("parts").alias("part")).join(F.broadcast(pieces), "part")
-    queries = queries.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select("query_id", "query", "part", "piece")
-    index = index.join(F.broadcast(pieces), "part").select("vec_id", "embedding", "part", F.pmod(F.xxhash64("vec_id"), F.col("pieces")).cast("int").alias("piece"))
+    queries = materialize(queries.select("query_id", "query", F.explode("parts").alias("part")))
+    blocks = queries.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
+    plan = pieces.join(blocks, "part")  # no partition without queries is searched
+    queries = queries.join(F.broadcast(plan), "part").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int"))
+    queries = queries.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select("query_id", "query", "part", "piece", "block")
+    index = index.join(F.broadcast(plan), "part").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    index = index.select("vec_id", "embedding", "part", F.pmod(F.xxhash64("vec_id"), F.col("pieces")).cast("int").alias("piece"), "block")
 
     def rerank(key, left, right):
         q, qid = _matrix(left.column("query"), dim, np.float64), left.column("query_id").to_numpy()
@@ -197,6 +207,6 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
         cols = list(zip(*out)) or [()] * 3
         return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
 
-    found = queries.groupBy("part", "piece").cogroup(index.groupBy("part", "piece")).applyInArrow(rerank, "query_id long, vec_id long, score double")
+    found = queries.groupBy("part", "piece", "block").cogroup(index.groupBy("part", "piece", "block")).applyInArrow(rerank, "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", place).where(f"rank <= {k}").select("query_id", "rank", "vec_id", "score")
