@@ -33,8 +33,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents of sources that are short of their target weight; rows are written in the mix's order."""
-    mixed = mixing.mix(docs).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
-    return mixed.select(docs.columns)
+    return mixing.placed(docs).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("doc.*")
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, order: tuple = ("doc_id",)) -> DataFrame:
