@@ -2,12 +2,17 @@
 
 1. Words of texts and items are lower-cased letters and digits; the 5-word shingles of the (small) benchmark meet those
    of every document. A window that is similar to an item shares a shingle with it, so nothing else needs a fingerprint.
-2. Every item-sized window of the document that holds as many shared shingles as similarity 0.8 needs is taken.
+2. Every item-sized window of the document that holds as many shared shingles as similarity 0.8 needs is taken, as a
+   candidate for that item.
 3. Windows and items get 64-bit SimHash fingerprints over their shingles. The 64 bits are cut into RADIUS + 1 blocks;
-   fingerprints within RADIUS agree in one block, so the join on (window size, block, its bits) misses none of them.
+   fingerprints within RADIUS agree in one block at least, so the multi-index misses none of them: windows and items meet
+   by (item, block, its bits), and a pair is taken at its first common block alone.
 4. Pairs within RADIUS are verified: weighted Jaccard over shingle counts, at least 0.8.
 
-At similarity 0.8 two fingerprints differ in 9.7 bits on average (standard deviation 2.9); RADIUS is 21.
+At similarity 0.8 two fingerprints differ in 9.7 bits on average (standard deviation 2.9); RADIUS is 21, four deviations
+more. So wide a radius leaves blocks of two or three bits, which by themselves select nearly nothing; the item in the key
+keeps the index from pairing windows with all items of their length, and the Hamming distance itself rejects what shares
+shingles in another order of magnitude (unrelated fingerprints differ in 32 bits, deviation 4).
 
 The _outer generators are used on purpose: the plain ones add a filter on the array's size below the scan, which would
 compute the shingles of every text a second time, with the words split anew for each.
@@ -41,15 +46,15 @@ def _whole(words: Column, size: int) -> Column:
 
 
 def _fingerprint(shingles: Column) -> tuple[Column, Column]:
-    # 16 sums of four 16-bit counters each, so that a shingle costs 16 steps and not 64
-    lanes = F.lit(0x0001000100010001)
+    # 32 sums of two 32-bit counters each, so that a shingle costs 32 steps and not 64
+    lanes = F.lit(0x0000000100000001)
     half = F.size(shingles)
 
     def sums(k: int) -> Column:
         return F.aggregate(shingles, F.lit(0).cast("long"), lambda s, h: s + F.shiftrightunsigned(h, k).bitwiseAND(lanes))
 
-    bits = [F.when(F.shiftrightunsigned(F.get("sums", F.lit(k)), 16 * lane).bitwiseAND(F.lit(0xFFFF)) * 2 > half, F.lit(1 << 16 * lane + k if 16 * lane + k < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("long") for k in range(16) for lane in range(4)]
-    return F.array(*[sums(k) for k in range(16)]), sum(bits[1:], bits[0])
+    bits = [F.when(F.shiftrightunsigned(F.get("sums", F.lit(k)), 32 * lane).bitwiseAND(F.lit(0xFFFFFFFF)) * 2 > half, F.lit(1 << 32 * lane + k if 32 * lane + k < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("long") for k in range(32) for lane in range(2)]
+    return F.array(*[sums(k) for k in range(32)]), sum(bits[1:], bits[0])
 
 
 def _with_fingerprint(df: DataFrame, shingles: str, name: str) -> DataFrame:
@@ -81,56 +86,71 @@ def _starts(ats: Column, need: Column, whole: Column, last: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), F.size(ats) - need), held))
 
 
-def _cut(place: Column) -> Column:
-    n = place.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
-    return F.struct(n.alias("n"), F.slice("words", F.shiftright(place, 31).cast("int") + 1, n).alias("words"))
-
-
 def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """docs(doc_id, text, ...), benchmark(item_id, text, ...) -> (doc_id, contaminated, n_items, similarity, item_ids).
 
     One row for each row of docs; similarity is the best of any item (0 without one). Items with fewer than `size` words
     are one shingle, found where a document has exactly these words in a row. Null and empty texts are clean, null and
-    empty items match nothing, repeated items count once by item_id; rows without doc_id are reported clean. Only the
-    named columns are read.
+    empty items match nothing, repeated rows of an item count once; rows without doc_id are reported clean, repeated rows
+    carry the result of their doc_id. Texts of any length are read whole. Only the named columns are read, so other
+    names cannot clash.
     """
     items = benchmark.where("item_id is not null").select("item_id", _words("text").alias("words")).where(F.size("words") > 0)
-    items = items.select("item_id", "words", F.size("words").alias("n"), F.least(F.size("words"), F.lit(size)).alias("gram"), _whole(F.col("words"), size).alias("shingles"))
+    items = items.withColumn("card", F.xxhash64("item_id", "words")).dropDuplicates(["card"])
+    items = items.select("item_id", "card", "words", F.size("words").alias("n"), F.least(F.size("words"), F.lit(size)).alias("gram"), _whole(F.col("words"), size).alias("shingles"))
     grams = [r["gram"] for r in items.select("gram").distinct().collect()]  # at most `size` numbers
-    own = [items.where(f"gram = {g}").select("item_id", "n", F.posexplode_outer(_shingles(F.col("words"), g)).alias("off", "h")) for g in grams]
+    own = [items.where(f"gram = {g}").select("card", "n", F.posexplode_outer(_shingles(F.col("words"), g)).alias("off", "h")) for g in grams]
     hits = None
     for gram, seeds in zip(grams, own):
         if seeds.limit(BROADCAST_SHINGLES + 1).count() <= BROADCAST_SHINGLES:
             seeds = F.broadcast(seeds)
         cut = docs.where("doc_id is not null").select("doc_id", _words("text").alias("words")).select("doc_id", F.size("words").alias("total"), _shingles(F.col("words"), gram).alias("hashes"))
         found = cut.select("doc_id", "total", F.posexplode_outer("hashes").alias("at", "h")).join(seeds, "h")
-        found = found.groupBy("doc_id", "total", "item_id", "n").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+        found = found.groupBy("doc_id", "total", "card", "n").agg(F.array_sort(F.collect_set("at")).alias("ats"))
         # similarity c / (x + y - c) >= least for sizes x and y needs c >= least * (x + y) / (1 + least) shared places
         whole = F.col("n") - gram + 1
         need = F.ceil(least / (1 + least) * (whole + F.least(F.col("n"), F.col("total")) - gram + 1) - 1e-9).cast("int")
         found = found.withColumn("need", F.greatest(need, F.lit(1))).where(F.size("ats") >= F.col("need"))
-        found = found.select("doc_id", "item_id", "n", _starts(F.col("ats"), F.col("need"), whole, F.greatest(F.col("total") - F.col("n"), F.lit(0))).alias("starts"))
+        found = found.select("doc_id", "card", "n", _starts(F.col("ats"), F.col("need"), whole, F.greatest(F.col("total") - F.col("n"), F.lit(0))).alias("starts"))
         found = found.where(F.size("starts") > 0)
         hits = found if hits is None else hits.unionByName(found)
     ids = docs.select("doc_id")
     if hits is None:
         return ids.select("doc_id", F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_items"), F.lit(0.0).alias("similarity"), F.array().cast("array<bigint>").alias("item_ids"))
-    # a place is a number, start * 2**31 + n: array_distinct compares structs pair by pair
-    places = hits.select("doc_id", F.transform("starts", lambda x: F.shiftleft(x.cast("long"), 31) + F.col("n")).alias("places"))
-    places = places.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    # the words of a document are cut once for all its candidates; windows of the same words for the same item are one
+    hits = hits.groupBy("doc_id", "card", "n").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
+    places = hits.groupBy("doc_id").agg(F.collect_list(F.struct("card", "n", "starts")).alias("places"))
     held = docs.select("doc_id", "text").join(places, "doc_id").select("doc_id", "places", _words("text").alias("words"))
-    windows = held.select("doc_id", F.explode_outer(F.transform("places", _cut)).alias("w"))
-    windows = windows.select("doc_id", F.col("w.n").alias("n"), _whole(F.col("w.words"), size).alias("of_window")).distinct()
+    held = held.select("doc_id", "words", F.explode_outer("places").alias("p")).select("doc_id", "words", "p.*")
+    windows = held.select("doc_id", "card", F.explode_outer(F.transform("starts", lambda x: F.slice("words", x + 1, F.col("n")))).alias("w"))
+    windows = windows.select("doc_id", "card", _whole(F.col("w"), size).alias("of_window")).distinct()
     windows = _with_fingerprint(windows, "of_window", "fp")
-    cards = _with_fingerprint(items.select("item_id", "n", F.col("shingles").alias("of_item")), "of_item", "item_fp")
+    cards = _with_fingerprint(items.select("item_id", "card", F.col("shingles").alias("of_item")), "of_item", "item_fp")
     left = windows.select("*", F.posexplode_outer(_blocks(F.col("fp"))).alias("block", "bits"))
     right = cards.select("*", F.posexplode_outer(_blocks(F.col("item_fp"))).alias("block", "bits"))
-    # a pair is taken at its first common block alone, so none comes twice
     differ = F.col("fp").bitwiseXOR(F.col("item_fp"))
     agree = F.array(*[F.shiftrightunsigned(differ, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) == 0 for lo, hi in _BLOCKS])
-    pairs = left.join(right, ["n", "block", "bits"]).where((F.bit_count(differ) <= RADIUS) & (F.array_position(agree, True) == F.col("block") + 1))
+    pairs = left.join(right, ["card", "block", "bits"]).where((F.bit_count(differ) <= RADIUS) & (F.array_position(agree, True) == F.col("block") + 1))
     pairs = pairs.select("doc_id", "item_id", _similarity(F.col("of_window"), F.col("of_item")).alias("similarity")).where(F.col("similarity") >= least)
     leaks = pairs.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("similarity").alias("similarity"))
     out = ids.join(leaks, "doc_id", "left")
     empty = F.array().cast("array<bigint>")
     return out.select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"), F.size(F.coalesce("item_ids", empty)).cast("long").alias("n_items"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"), F.coalesce("item_ids", empty).alias("item_ids"))
+
+
+def leaks_sql(least: float = 0.8) -> str:
+    """The same in DuckDB SQL, by the shared shingles of all windows; for items of five words and more."""
+    words = r"list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}\x09-\x0D\x20]+', '', 'g'), '[\x09-\x0D\x20]+'), lambda w: w <> '')"
+    grams = "SELECT {id}, len(w) AS total, i - 1 AS p, md5(array_to_string(w[i:i+4], ' ')) AS h FROM (SELECT {id}, w, unnest(range(1, greatest(len(w) - 3, 1))) AS i FROM (SELECT {id}, {words} AS w FROM {table}))"
+    return f"""
+    WITH d AS ({grams.format(id="doc_id", table="documents", words=words)}),
+    b AS ({grams.format(id="item_id", table="benchmark", words=words)}),
+    counts AS (SELECT item_id, total AS n, h, count(*) AS c FROM b GROUP BY ALL),
+    shared AS (SELECT doc_id, d.total, item_id, n, p, h, c FROM d JOIN counts USING (h)),
+    starts AS (SELECT DISTINCT doc_id, total, item_id, n, unnest(range(greatest(p - n + 5, 0), least(p, greatest(total - n, 0)) + 1)) AS s FROM shared),
+    held AS (SELECT doc_id, total, item_id, n, s, h, least(count(*), any_value(c)) AS c FROM starts JOIN shared USING (doc_id, total, item_id, n) WHERE p BETWEEN s AND s + n - 5 GROUP BY ALL),
+    common AS (SELECT doc_id, total, item_id, n, s, sum(c)::BIGINT AS c FROM held GROUP BY ALL),
+    scored AS (SELECT doc_id, item_id, max(c / ((n - 4) + (least(n, total) - 4) - c)) AS x FROM common GROUP BY ALL),
+    leaks AS (SELECT doc_id, string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS item_ids, count(*) AS n_items, max(x) AS similarity FROM scored WHERE x >= {least} GROUP BY doc_id)
+    SELECT doc_id, item_ids IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, coalesce(similarity, 0.0)::DOUBLE AS similarity, coalesce(item_ids, '') AS item_ids
+    FROM documents LEFT JOIN leaks USING (doc_id)"""

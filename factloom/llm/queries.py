@@ -53,7 +53,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.withColumn("item_ids", F.array_join("item_ids", ","))
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_compression, op2_learned_partitions, op3_minhash_dedup, op4_substring_dedup, op5_mix_sources, op6_token_files, op7_licence_scan, op8_pitman_yor, op9_pii, op10_decontaminate)}
@@ -85,4 +86,5 @@ ORACLES = {
     SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
     FROM w LEFT JOIN kept USING (doc_id)""",
     "op7_licence_scan": licences.licences_sql(),
+    "op10_decontaminate": leaks.leaks_sql(),
 }
