@@ -18,7 +18,7 @@ import zlib
 
 import numpy as np
 
-MAGIC, LANES, STEPS = b"FLID1\0", 2048, 512
+MAGIC, LANES, STEPS = b"FLID1\0", 4096, 512
 _SLOTS, _UNIT = 18, np.uint64(18)
 _TOTAL = np.uint64(26)
 _HASH = 18

@@ -7,6 +7,7 @@ import os
 import re
 import sys
 import zlib
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from . import idcoder
 from .common import materialize
 
-BLOCK_IDS, MEMO = 1 << 21, 1_000_000
+BLOCK_IDS, MEMO = 1 << 21, 800_000
 # Fixed value: the pre-tokenizer's pattern under which texts may be encoded word by word. It keeps no white space, so no
 # token crosses it, takes a run of letters as one piece, and a run of other signs after it as another.
 _APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -34,10 +35,9 @@ def words_apart(path: str) -> bool:
     return bool(fine) and steps == ["NFC", "Replace", "Lowercase"] and made["model"].get("end_of_word_suffix") == "</w>" and not any(" " in t["content"] for t in made["added_tokens"])
 
 
-def _letters(words: pa.Array) -> pa.Array:
-    """Whether words are letters alone and stay so: composed, and without the one letter whose lower case has a mark."""
-    plain = pc.and_(pc.equal(words, pc.utf8_normalize(words, "NFC")), pc.invert(pc.match_substring(words, "\u0130")))
-    return pc.and_(pc.utf8_is_alpha(words), plain)
+def _plain(text: str) -> bool:
+    """Whether letters stay letters: composed, and without the one letter whose lower case has a mark."""
+    return text.isascii() or (is_normalized("NFC", text) and "\u0130" not in text)
 
 
 class _Places(dict):
@@ -101,25 +101,28 @@ class Encoder:
     def _learn(self, first: int) -> None:
         """Ids of all words from place `first` on; words of letters and signs are put together from both."""
         whole = pa.array(self.words[first:], pa.string())
-        letters = _letters(whole).to_numpy(zero_copy_only=False)
+        letters = pc.utf8_is_alpha(whole)
         stems = pc.utf8_rtrim(whole, characters=_SIGNS)
-        mixed = pc.and_(pc.and_(_letters(stems), pc.invert(pc.equal(stems, whole))), pc.invert(pc.match_substring_regex(whole, "|".join(map(re.escape, self.special)) or r"\z\A"))).to_numpy(zero_copy_only=False)
-        joined = []
-        at = np.nonzero(mixed)[0]
+        special = pc.match_substring_regex(whole, "|".join(map(re.escape, self.special)) or r"\z\A")
+        mixed = pc.and_(pc.and_(pc.utf8_is_alpha(stems), pc.invert(letters)), pc.invert(special))
+        at, joined, other = np.nonzero(mixed.to_numpy(zero_copy_only=False))[0], [], []
         for k, word, stem in zip(at.tolist(), whole.take(pa.array(at)).to_pylist(), stems.take(pa.array(at)).to_pylist()):
-            joined.append((first + k, self.number[stem], self.number[word[len(stem) :]]))
+            if _plain(stem):
+                joined.append((first + k, self.number[stem], self.number[word[len(stem) :]]))
+            else:
+                other.append(first + k)
         if len(self.words) > first + len(whole):  # stems and signs that were no words yet
             self._learn(first + len(whole))
-        for a in range(0, len(at := np.nonzero(letters)[0]), 1000):
+        for a in range(0, len(at := np.nonzero(letters.to_numpy(zero_copy_only=False))[0]), 1000):
             some = at[a : a + 1000]
             text = " ".join(whole.take(pa.array(some)).to_pylist())
             ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
             last = np.nonzero(self.ends[ids])[0]
-            if len(last) == len(some) and last[-1] == len(ids) - 1:  # one piece, hence one end, for each word
+            if _plain(text) and len(last) == len(some) and last[-1] == len(ids) - 1:  # one piece, hence one end, for each word
                 self._store(first + some, np.diff(last, prepend=-1), ids)
             else:
                 self._exact((first + some).tolist())
-        self._exact((first + np.nonzero(~letters & ~mixed)[0]).tolist())
+        self._exact(other + (first + np.nonzero(pc.invert(pc.or_(letters, mixed)).to_numpy(zero_copy_only=False))[0]).tolist())
         if joined:
             at, x, y = (np.array(c) for c in zip(*joined))
             both = np.column_stack((x, y)).ravel()
