@@ -27,6 +27,11 @@ _S32 = np.uint64(32)
 _HEAD, _HEAD_SIZE = "<6sIIII", 22  # magic, documents, ids, lanes, vocabulary
 
 
+#: By 2 * confidence + whether the id came true: the confidence's change, and whether the id stays.
+_CHANGE = np.array([x for c in range(16) for x in (-((c + 1) >> 1), int(c < 15))], np.int32)
+_KEPT = np.array([x for c in range(16) for x in (c >= 2, True)])
+
+
 class _Models:
     def __init__(self, lanes: int, vocabulary: int):
         self.two = np.zeros(1 << _HASH, np.int32)
@@ -66,17 +71,19 @@ class _Models:
     def predict(self) -> None:
         """Order-2 and order-1 ids and the mixing context of each lane."""
         self.h = (self.b * 0x2545F491 + self.a * 0x9E3779B1 >> 9) & ((1 << _HASH) - 1)
-        self.e2, e1 = self.two[self.h], self.one[self.a]
-        self.p2, self.p1 = self.e2 >> 4, e1 >> 4
-        self.e1 = e1
-        self.ctx = ((self.e2 & 15) << 5) | ((e1 & 15) << 1) | (self.p1 == self.p2)
-
-    def update(self, x: np.ndarray, k: np.ndarray) -> None:
-        """x: the ids; k: 3 * mixing context + which part coded it."""
-        x32 = x.astype(np.int32)
-        for table, at, e, p in ((self.two, self.h, self.e2, self.p2), (self.one, self.a, self.e1, self.p1)):
-            conf = e & 15
-            table[at] = np.where(p == x32, e + (conf < 15), np.where(conf >= 2, e - ((conf + 1) >> 1), (x32 << 4) | 1))
+        self.e2, self.e1 = self.two.take(self.h, mode="clip"), self.one.take(self.a, mode="clip")
+        self.p2, self.p1 = self.e2 >> 4, self.e1 >> 4
+        self.ctx = (((self.e2 & 15) << 4 | (self.e1 & 15)) << 1 | (self.p1 == self.p2)).astype(np.int64)
+
+    def update(self, x: np.ndarray, k: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        """x: the ids; k: 3 * mixing context + which part coded it; which of the two ids came true."""
+        first = (x.astype(np.int32) << 4) | 1
+        for table, at, e, hit in ((self.two, self.h, self.e2, hit2), (self.one, self.a, self.e1, hit1)):
+            # an id that came true gains confidence, a confident one that did not loses half of it, any other is replaced
+            state = (e & 15).astype(np.int64)
+            state += state
+            state += hit
+            table[at] = np.where(_KEPT.take(state, mode="clip"), e + _CHANGE.take(state, mode="clip"), first)
         self.b, self.a = self.a, x
         self.classes.append(k)
         self.recent.append(x)
@@ -109,13 +116,14 @@ def encode_ids(ids: np.ndarray, vocabulary: int) -> bytes:
     out, at = np.zeros((lanes, steps + 3), np.uint32), np.ones(lanes, np.int64)  # word 0 takes a carry out of the first
     for x in grid:
         model.predict()
-        cls = np.where(x == model.p2, 0, np.where(x == model.p1, 1, 2))
+        hit2, hit1 = x == model.p2, x == model.p1
+        cls = 2 - (hit2.view(np.int8) * 2 + (hit1 & ~hit2))
         k = model.ctx * 3 + cls
-        start, share = model.start[k], model.share[k]
+        start, share = model.start.take(k, mode="clip"), model.share.take(k, mode="clip")
         miss = np.nonzero(cls == 2)[0]
         m, y = share[miss] >> _UNIT, x[miss]
-        start[miss] += model.c[y] * m
-        share[miss] = model.f[y] * m
+        start[miss] += model.c.take(y, mode="clip") * m
+        share[miss] = model.f.take(y, mode="clip") * m
         rng >>= _TOTAL
         start *= rng
         low += start
@@ -132,7 +140,7 @@ def encode_ids(ids: np.ndarray, vocabulary: int) -> bytes:
         at[full] += 1
         low[full] = v << _S32
         rng[full] <<= _S32
-        model.update(x, k)
+        model.update(x, k, hit2, hit1)
     for word in (low >> _S32, low & np.uint64(0xFFFFFFFF)):
         out[np.arange(lanes), at] = word
         at += 1
@@ -159,16 +167,16 @@ def decode_ids(data: bytes, n: int, lanes: int, vocabulary: int) -> np.ndarray:
         value = off // rng
         unit = value >> _UNIT
         ctx = model.ctx
-        cls = (unit >= model.bound1[ctx]).astype(np.int32) + (unit >= model.bound2[ctx])
+        cls = (unit >= model.bound1.take(ctx, mode="clip")).astype(np.int8) + (unit >= model.bound2.take(ctx, mode="clip"))
         k = ctx * 3 + cls
-        start, share = model.start[k], model.share[k]
+        start, share = model.start.take(k, mode="clip"), model.share.take(k, mode="clip")
         x = np.where(cls == 0, model.p2, model.p1).astype(np.int64)
         miss = np.nonzero(cls == 2)[0]
         m = share[miss] >> _UNIT
         y = model.lookup()[((value[miss] - start[miss]) // m).astype(np.int64)]
         x[miss] = y
-        start[miss] += model.c[y] * m
-        share[miss] = model.f[y] * m
+        start[miss] += model.c.take(y, mode="clip") * m
+        share[miss] = model.f.take(y, mode="clip") * m
         off -= start * rng
         rng *= share
         full = np.nonzero(rng < _LOW)[0]
@@ -177,7 +185,7 @@ def decode_ids(data: bytes, n: int, lanes: int, vocabulary: int) -> np.ndarray:
         at[full] = p + 1
         rng[full] <<= _S32
         grid[t] = x
-        model.update(x, k)
+        model.update(x, k, x == model.p2, x == model.p1)
     return grid.T.reshape(-1)[:n]
 
 
