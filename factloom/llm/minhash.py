@@ -10,11 +10,14 @@
    merged, pairs under T, and pairs that an earlier shared posting covers, and verify the rest on the full sets.
 5. The components of all links are the result.
 
-K = 32 and T = 16: a pair at Jaccard 0.85 agrees in fewer than 16 coordinates with probability under 1e-6.
+K = 32; T is the largest number of coordinates in which a pair at the asked similarity agrees less often than LOSS of
+times: 16 at Jaccard 0.85, 13 at 0.8. Pairs above it are lost less often still.
 """
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -24,12 +27,22 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import WordHashes, binary_column, materialize, shingle_set
 from .components import components
 
-K, T, BLOCK = 32, 16, 1024
+K, BLOCK, LOSS = 32, 1024, 1e-6
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(1, 2**63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, K, dtype=np.uint64)
 
 
+def least_matches(percent: int) -> int:
+    """The largest T such that a pair of this similarity agrees in fewer than T of K coordinates with probability under LOSS."""
+    p, lost = percent / 100, 0.0
+    for t in range(K):
+        lost += comb(K, t) * p**t * (1 - p) ** (K - t)
+        if lost >= LOSS:
+            return max(t, 1)
+    return K
+
+
 def signature(s: np.ndarray) -> np.ndarray:
     out = np.full(K, 0xFFFFFFFF, np.uint64)
     for at in range(0, len(s), 4096):
@@ -86,7 +99,7 @@ def _verify(percent: int):
     return run
 
 
-def _within(percent: int):
+def _within(percent: int, least: int):
     """Verified links of a block pair; both blocks are bounded by BLOCK on average."""
 
     def run(key, pdf):
@@ -112,7 +125,7 @@ def _within(percent: int):
                 continue
             same = sig[other] == sig[i]
             shared = (same * bits).sum(1) & prefix[other] & prefix[i]
-            other = other[(same.sum(1) >= T) & ((shared & earlier) == 0)]
+            other = other[(same.sum(1) >= least) & ((shared & earlier) == 0)]
             for j in other:
                 if root(comp[i]) != root(comp[j]) and similar(sets[i], sets[j], percent):
                     parent[root(comp[i])] = root(comp[j])
@@ -130,6 +143,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     doc_id take no part: their component_id is null and they are kept. Repeated rows fall into one component; each of
     them carries the result of its doc_id. Other columns are not read, so clashing names do no harm.
     """
+    least = least_matches(percent)
     signed = materialize(docs.select("doc_id", "text").mapInArrow(_signed(words), "doc_id long, n_shingles long, set_key binary, sig binary"))
     part = signed.where("set_key is not null and doc_id is not null")
     reps = part.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
@@ -142,7 +156,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # the rest of the K coordinates collide with nothing and are the rarest
     rank = F.row_number().over(Window.partitionBy("rep").orderBy("n", "coord"))
     in_lists = F.count("*").over(Window.partitionBy("rep"))
-    multi = materialize(multi.withColumn("at", rank + K - in_lists).where(f"at <= {K - T + 1}").drop("at"))
+    multi = materialize(multi.withColumn("at", rank + K - in_lists).where(f"at <= {K - least + 1}").drop("at"))
 
     wanted = multi.groupBy("rep").agg(F.sum(F.expr("shiftleft(1L, cast(coord AS int))")).alias("prefix"))
     texts = docs.select("doc_id", "text")
@@ -163,7 +177,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     left = left.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     left = left.select("coord", "value", F.least("block", "o").alias("a"), F.greatest("block", "o").alias("b"), "block", "rep", "component")
     left = left.join(wanted, "rep").join(one, "rep")
-    more = left.groupBy("coord", "value", "a", "b").applyInPandas(_within(percent), "u long, v long")
+    more = left.groupBy("coord", "value", "a", "b").applyInPandas(_within(percent, least), "u long, v long")
     more = materialize(more.distinct())
     if more.limit(1).count():
         found = components(links.unionByName(more))
