@@ -6,21 +6,22 @@ import argparse
 import json
 import logging
 import sys
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from factloom.config import Settings
-from factloom.operators.extract import RuleExtractor
 from factloom.operators.facts import FactStore
-from factloom.operators.vector import NgramEmbedder
 from factloom.plans import pipeline
 from factloom.sources.files import PdfParser, TextParser
 
 
 def setup_logger(name: str = "factloom", level: str = "INFO", file: str | None = None) -> logging.Logger:
-    """Console and optional file handlers, added once."""
+    """Console and optional file handlers, added once; the log is the driver's own."""
     log = logging.getLogger(name)
     if not log.handlers:
+        if file:
+            Path(file).parent.mkdir(parents=True, exist_ok=True)
         log.setLevel(level)
         for h in [logging.StreamHandler(), *([logging.FileHandler(file)] if file else [])]:
             h.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(name)s: %(message)s"))
@@ -28,10 +29,6 @@ def setup_logger(name: str = "factloom", level: str = "INFO", file: str | None =
     return log
 
 
-def get_logger() -> logging.Logger:
-    return setup_logger()
-
-
 def main(args: list[str] | None = None, spark: SparkSession | None = None, settings: Settings | None = None) -> int:
     ap = argparse.ArgumentParser(prog="factloom")
     ap.add_argument("input", nargs="?")
@@ -41,6 +38,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None, setti
     ap.add_argument("--text", action="store_true", help="inputs are texts with form feeds between pages")
     ns = ap.parse_args(args)
     settings = settings or Settings.load()
+    setup_logger(level=settings.log_level, file=f"{settings.log_dir}/factloom.log" if settings.log_dir else None)
     spark = spark or SparkSession.builder.appName("factloom").getOrCreate()
     store = FactStore(spark, settings.db_path)
     if ns.list:
@@ -58,7 +56,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None, setti
         return 0
     if not ns.input:
         ap.error("an input is needed")
-    print(pipeline.run(spark, ns.input, settings, RuleExtractor(), NgramEmbedder(), TextParser() if ns.text else PdfParser(), not ns.no_resume))
+    print(pipeline.run(spark, ns.input, settings, settings.extractor(), settings.embedder(), TextParser() if ns.text else PdfParser(), not ns.no_resume))
     return 0
 
 

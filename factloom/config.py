@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, fields
-from pathlib import Path
 
 
+# The names of the settings and their defaults.
 @dataclass(frozen=True)
 class Settings:
     llm_api_key: str = ""
@@ -39,10 +39,17 @@ class Settings:
                 made[f.name] = env[f.name].lower() in ("1", "true", "yes") if kind is bool else kind(env[f.name])
         return cls(**made)
 
-    @property
-    def base_dir(self) -> Path:
-        return Path.cwd()
+    def extractor(self):
+        """The language model of llm_base_url, or the offline rules where no key is set."""
+        from factloom.operators.extract import RuleExtractor
+        from factloom.sources.models import ChatClient
 
-    def ensure_dirs(self) -> None:
-        for d in (self.upload_dir, self.output_dir, self.index_dir, self.log_dir):
-            Path(d).mkdir(parents=True, exist_ok=True)
+        if not self.llm_api_key:
+            return RuleExtractor()
+        return ChatClient(self.llm_base_url, self.llm_api_key, self.llm_model, (self.llm_temperature, self.llm_max_tokens), (self.hyde_temperature, self.hyde_max_tokens))
+
+    def embedder(self):
+        from factloom.operators.vector import NgramEmbedder
+        from factloom.sources.models import SentenceEmbedder
+
+        return NgramEmbedder() if self.embedding_model == "offline-ngram" else SentenceEmbedder(self.embedding_model)

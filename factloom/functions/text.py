@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 SPACE = r"[\s\x1c-\x1f]"
+#: The characters of SPACE, for trimming without a regular expression.
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(c, F.lit(SPACES))
+
+
+def let(value: Column, use) -> Column:
+    """use(value) with value computed once; named columns may be merged into every place that uses them, this is not."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def blank(c: Column) -> Column:

@@ -4,31 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from factloom.functions.text import SPACE, blank, strip
+from factloom.functions.text import SPACE, blank, let, strip
 from factloom.operators.sections import documents, with_sections
 
-_BLOCK = "struct<type:string,content:string>"
-
-
 def blocks(section: Column) -> Column:
     """array<struct<type,content>>: maximal runs of table lines (stripped, they start with |) and of others; blank runs go."""
-    lines = F.transform(F.split(section, "\n", -1), lambda x: F.struct(F.when(strip(x).startswith("|"), "table").otherwise("text").alias("type"), x.alias("content")))
-    none = F.array().cast(f"array<{_BLOCK}>")
+    lines = F.split(section, "\n", -1)
+    marked = F.struct(lines.alias("lines"), F.transform(lines, lambda x: x.rlike(rf"(?U)\A{SPACE}*\|")).alias("table"))
 
-    def step(acc: Column, x: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        joined = F.struct(x["type"].alias("type"), F.concat(last["content"], F.lit("\n"), x["content"]).alias("content"))
-        return F.when((F.size(acc) > 0) & (last["type"] == x["type"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(acc, F.array(x)))
+    def cut(m: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(m["lines"]) - 1)
+        starts = F.filter(every, lambda i: (i == 0) | (F.get(m["table"], i) != F.get(m["table"], i - 1)))
+        return let(starts, lambda s: F.transform(s, lambda i, j: run(m, i, F.coalesce(F.get(s, j + 1), F.size(m["lines"])))))
 
-    runs = F.transform(F.aggregate(lines, none, step), lambda b: F.struct(b["type"].alias("type"), strip(b["content"]).alias("content")))
-    return F.filter(runs, lambda b: b["content"] != "")
+    def run(m: Column, first: Column, end: Column) -> Column:
+        kind = F.when(F.get(m["table"], first), "table").otherwise("text")
+        return F.struct(kind.alias("type"), strip(F.array_join(F.slice(m["lines"], first + 1, end - first), "\n")).alias("content"))
+
+    return F.filter(let(marked, cut), lambda b: b["content"] != "")
 
 
 def sliding_windows(text: Column, size: int, overlap: int) -> Column:
-    """Stripped slices of `size` characters from 0, size - overlap, ...; a last one inside its neighbour stays."""
+    """Stripped slices of `size` characters from 0, size - overlap, ...; a last one inside its neighbour stays.
+
+    The text is cut into steps once; a window is a step and as many of the following as it overlaps.
+    """
     _check(size, overlap)
-    starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(size - overlap))
-    return F.when(F.length(text) > 0, F.transform(starts, lambda s: strip(F.substring(text, s + 1, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+    step = size - overlap
+    steps = 1 + -(-overlap // step)
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{step}}}"), F.lit(0))
+    return let(pieces, lambda p: F.transform(p, lambda x, i: strip(F.substring(F.array_join(F.slice(p, i + 1, F.lit(steps)), ""), 1, size))))
 
 
 def _check(size: int, overlap: int) -> None:
@@ -67,9 +72,12 @@ def chunk_pages(pages: DataFrame, size: int | None = None, overlap: int | None =
     docs = with_sections(documents(pages))
     rows = docs.select("doc_id", "bounds", F.posexplode("sections").alias("s", "section"))
     rows = rows.select("doc_id", "bounds", "s", F.col("section.title").alias("section"), F.col("section.start").alias("start"), blocks(F.col("section.text")).alias("blocks"))
-    rows = rows.select("doc_id", "bounds", "s", "section", "start", "blocks", F.posexplode("blocks").alias("b", "block"))
-    before = F.aggregate(F.slice("blocks", 1, F.col("b")), F.lit(0), lambda a, x: a + F.length(x["content"]) + 2)
-    rows = rows.select("doc_id", "s", "b", "section", page_at(F.col("bounds"), F.col("start") + before).alias("page"), F.col("block.type").alias("type"), F.col("block.content").alias("content"))
+    rows = rows.select("doc_id", "bounds", "s", "section", "start", F.posexplode("blocks").alias("b", "block"))
+    # the documents are dealt out by doc_id already, so this and the numbering below need no further exchange
+    earlier = Window.partitionBy("doc_id", "s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.length("block.content") + 2).over(earlier), F.lit(0)).cast("int")
+    rows = rows.withColumn("position", F.col("start") + before)
+    rows = rows.select("doc_id", "s", "b", "section", page_at(F.col("bounds"), F.col("position")).alias("page"), F.col("block.type").alias("type"), F.col("block.content").alias("content"))
     texts = F.when(F.col("type") == "table", F.array("content")).otherwise(pack(F.col("content"), size, overlap))
     rows = rows.select("doc_id", "s", "b", "section", "page", "type", F.posexplode(F.filter(texts, lambda t: ~blank(t))).alias("c", "text"))
     number = (F.row_number().over(Window.partitionBy("doc_id").orderBy("s", "b", "c")) - 1).cast("int")
@@ -84,4 +92,4 @@ def chunk_type_counts(chunks: DataFrame) -> DataFrame:
 def is_table(block: Column) -> Column:
     """At least two lines, of which at least 60 % are table lines."""
     lines = F.split(strip(block), "\n", -1)
-    return (F.size(lines) >= 2) & (F.size(F.filter(lines, lambda x: strip(x).startswith("|"))) >= F.size(lines) * 0.6)
+    return let(lines, lambda x: (F.size(x) >= 2) & (F.size(F.filter(x, lambda y: strip(y).startswith("|"))) >= F.size(x) * 0.6))

@@ -9,15 +9,15 @@ from __future__ import annotations
 import json
 import re
 import time
-import uuid
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from factloom.functions.text import format_context, source_id
 from factloom.operators import records, vector
-from factloom.schemas import FAILED, GROUPS, MONOLITHIC, PARTIAL, RECORDS, SUCCESS
+from factloom.schemas import ABOUT, FAILED, GROUPS, MONOLITHIC, PARTIAL, RECORDS, SUCCESS
+from factloom.shared import materialize
 
 
 class Extractor(Protocol):
@@ -59,18 +59,18 @@ def chat_text(extractor: Extractor, system: str, user: str) -> str:
         return ""
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/factloom-{spark.sparkContext.applicationId}"
-    path = f"{folder}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 SYSTEM = "Take values from the given passages only. Leave a field empty if they do not state it. Quotes are verbatim. Reply with one JSON object of the listed fields."
 HYDE = "Write a passage of 100 to 200 characters, as a transaction report would put it, with concrete details, that answers the question."
 
 
+def prompt(fields: Column, context: Column) -> Column:
+    """The fields by name, a line that says what each of them means, and the passages."""
+    about = F.create_map(*[F.lit(x) for f, text in ABOUT.items() for x in (f, text)])
+    named = F.filter(fields, lambda f: about[f].isNotNull())
+    told = F.array_join(F.transform(named, lambda f: F.concat(f, F.lit(" = "), about[f])), "; ")
+    return F.concat(F.lit("fields:"), F.array_join(fields, ","), F.lit("\nmeaning of the fields: "), told, F.lit("\n"), context)
+
+
 def ask(df: DataFrame, extractor: Extractor, text: bool = False, attempts: int = 3) -> DataFrame:
     """Adds `reply` for column `prompt`; rows with an empty prompt are not sent."""
 
@@ -114,9 +114,9 @@ def extract_fields(index: DataFrame, docs: DataFrame, extractor: Extractor, embe
     hits = hits.where(F.col("rank") <= limit[F.col("field_name")]).withColumn("group_at", order[F.concat_ws("/", "field_name", "sub")])
     hits = vector.dedup_hits(hits.select("doc_id", "field_name", "chunk_id", "text", "page", "section", "score", "group_at", "rank"), ["doc_id", "field_name"], ["group_at", "rank"])
     context = _contexts(hits, ["doc_id", "field_name"], top_k)
-    lists = F.create_map(*[F.lit(x) for g in GROUPS for x in (g, ",".join(RECORDS[g]))])
+    lists = F.create_map(*[x for g in GROUPS for x in (F.lit(g), F.array(*map(F.lit, RECORDS[g])))])
     every = docs.select("doc_id").distinct().crossJoin(F.broadcast(spark.createDataFrame([(g,) for g in GROUPS], "field_name string")))
-    first = every.join(context, ["doc_id", "field_name"], "left").withColumn("prompt", F.concat(F.lit("fields:"), lists[F.col("field_name")], F.lit("\n"), F.col("context"))).drop("context")
+    first = every.join(context, ["doc_id", "field_name"], "left").withColumn("prompt", prompt(lists[F.col("field_name")], F.col("context"))).drop("context")
     state = ask(first, extractor, attempts=attempts)
 
     def by_group(of):
@@ -150,7 +150,7 @@ def extract_fields(index: DataFrame, docs: DataFrame, extractor: Extractor, embe
             found = fit.drop("embedding", "query", "keywords").withColumn("rank", rank).where(F.col("rank") <= top_k)
         context = _contexts(found.withColumn("first_seen", F.struct("rank")), ["doc_id", "field_name", "sub"], top_k)
         turn = need.drop("query", "keywords", "hyde").join(context, ["doc_id", "field_name", "sub"])
-        turn = ask(turn.withColumn("prompt", F.concat(F.lit("fields:"), F.array_join("fields", ","), F.lit("\n"), F.col("context"))).drop("context"), extractor, attempts=attempts)
+        turn = ask(turn.withColumn("prompt", prompt(F.col("fields"), F.col("context"))).drop("context"), extractor, attempts=attempts)
         turn = turn.withColumn("got", by_group(lambda g: records.to_record(F.col("reply"), RECORDS[g])))
         merged = turn.groupBy("doc_id", "field_name").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "sources"))), lambda x: x["sources"])).alias("more"), F.collect_list(F.when(F.col("got").isNotNull(), F.struct("fields", "got"))).alias("turns"))
         state = state.join(merged, ["doc_id", "field_name"], "left")

@@ -17,8 +17,15 @@ def latest(versions: DataFrame, key: str, order: list[str]) -> DataFrame:
     return versions.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def upsert(facts: DataFrame, new: DataFrame, now: Column, keep_created: bool = True) -> DataFrame:
-    """new replaces rows of equal doc_id; created_at of a replaced row stays, or becomes now with keep_created=False."""
+def upsert(facts: DataFrame, new: DataFrame, now: Column, keep_created: bool = True, order: list[str] | None = None) -> DataFrame:
+    """new replaces rows of equal doc_id; created_at of a replaced row stays, or becomes now with keep_created=False.
+
+    A key that comes more than once in `new` gives one row, the last by `order` (by default by all columns that can be
+    ordered, maps cannot).
+    """
+    if order is None:
+        order = [f.name for f in new.schema.fields if f.name != "doc_id" and "map<" not in f.dataType.simpleString()]
+    new = latest(new, "doc_id", order) if order else new.dropDuplicates(["doc_id"])
     made = facts.select("doc_id", F.col("created_at").alias("_made"))
     fresh = new.drop("created_at", "updated_at").join(made, "doc_id", "left")
     created = F.coalesce("_made", now) if keep_created else now

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from factloom.functions.text import let
 from factloom.schemas import FAILED, GROUPS, PARTIAL, RECORDS, SUCCESS
 
 
@@ -11,9 +12,7 @@ def parsed(json: Column) -> Column:
     return F.try_parse_json(json)
 
 
-def is_valid(json: Column, fields: list[str]) -> Column:
-    """An object whose known fields, where present, are strings; unknown keys are ignored, malformed JSON is invalid."""
-    v = parsed(json)
+def _strings_only(v: Column, fields: list[str]) -> Column:
     ok = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     for f in fields:
         kind = F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant"))
@@ -21,11 +20,19 @@ def is_valid(json: Column, fields: list[str]) -> Column:
     return ok
 
 
+def is_valid(json: Column, fields: list[str]) -> Column:
+    """An object whose known fields, where present, are strings; unknown keys are ignored, malformed JSON is invalid."""
+    return let(parsed(json), lambda v: _strings_only(v, fields))
+
+
 def to_record(json: Column, fields: list[str]) -> Column:
     """Known string fields as a map; missing ones are empty; an invalid reply gives null."""
-    v = parsed(json)
-    pairs = [x for f in fields for x in (F.lit(f), F.coalesce(F.try_variant_get(v, f"$.{f}", "string"), F.lit("")))]
-    return F.when(is_valid(json, fields), F.create_map(*pairs))
+
+    def record(v: Column) -> Column:
+        pairs = [x for f in fields for x in (F.lit(f), F.coalesce(F.try_variant_get(v, f"$.{f}", "string"), F.lit("")))]
+        return F.when(_strings_only(v, fields), F.create_map(*pairs))
+
+    return let(parsed(json), record)
 
 
 def targets(group: str) -> list[str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from factloom.functions.text import SPACE, strip
+from factloom.functions.text import SPACE, let, strip
 
 # Headings are numbered parts, numbered points, and Markdown headings.
 PATTERNS = [
@@ -15,9 +15,14 @@ PATTERNS = [
 _HITS = "struct<at:int,hits:array<struct<pos:int,title:string>>>"
 
 
+def _clean(text: Column) -> Column:
+    """Without the two control characters that mark headings below; taken out first, so that all positions agree."""
+    return F.translate(text, "\x01\x02", "")
+
+
 def documents(pages: DataFrame) -> DataFrame:
     """pages(doc_id, page_number, text) -> (doc_id, full_text, bounds): each page's text and a blank line, in page order."""
-    ordered = F.array_sort(F.collect_list(F.struct("page_number", "text")))
+    ordered = F.array_sort(F.collect_list(F.struct("page_number", _clean(F.col("text")).alias("text"))))
     docs = pages.groupBy("doc_id").agg(ordered.alias("pages"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,page:int>>").alias("bounds"))
 
@@ -31,27 +36,30 @@ def documents(pages: DataFrame) -> DataFrame:
 
 def _found(text: Column, pattern: str) -> Column:
     """Leftmost matches with positions: sentinels around each match, cut apart, lengths summed."""
-    parts = F.split(F.regexp_replace(text, f"(?Umd){pattern}", "\x01$0\x02"), "\x01", -1)
-    start = F.struct(F.length(F.element_at(parts, 1)).alias("at"), F.array().cast("array<struct<pos:int,title:string>>").alias("hits")).cast(_HITS)
+    marked = F.split(F.regexp_replace(text, f"(?Umd){pattern}", "\x01$0\x02"), "\x01", -1)
 
     def step(acc: Column, p: Column) -> Column:
         hit = F.struct(acc["at"].alias("pos"), strip(F.regexp_replace(strip(F.substring_index(p, "\x02", 1)), r"\A#+", "")).alias("title"))
         return F.struct((acc["at"] + F.length(p) - 1).alias("at"), F.concat(acc["hits"], F.array(hit)).alias("hits")).cast(_HITS)
 
-    return F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), start, step)["hits"]
+    def walk(parts: Column) -> Column:
+        start = F.struct(F.length(F.element_at(parts, 1)).alias("at"), F.array().cast("array<struct<pos:int,title:string>>").alias("hits")).cast(_HITS)
+        return F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), start, step)["hits"]
+
+    return let(marked, walk)
 
 
 def section_hits(text: Column) -> Column:
     """array<struct<pos,title>>: titles of 2 to 50 characters; of hits less than 5 apart the first stays."""
-    clean = F.translate(text, "\x01\x02", "")
-    every = F.concat(*[_found(clean, p) for p in PATTERNS])
+    every = let(_clean(text), lambda t: F.concat(*[_found(t, p) for p in PATTERNS]))
     fit = F.array_sort(F.filter(every, lambda h: F.length(h["title"]).between(2, 50)))
     none = F.array().cast("array<struct<pos:int,title:string>>")
     return F.aggregate(fit, none, lambda acc, h: F.when((F.size(acc) > 0) & (h["pos"] - F.try_element_at(acc, F.lit(-1))["pos"] < 5), acc).otherwise(F.concat(acc, F.array(h))))
 
 
 def with_sections(docs: DataFrame) -> DataFrame:
-    """docs(full_text, ...) with sections: array<struct<title,text,start>>."""
+    """docs(full_text, ...) with sections: array<struct<title,text,start>>; full_text loses U+0001 and U+0002."""
+    docs = docs.withColumn("full_text", _clean(F.col("full_text")))
     docs = docs.withColumn("_hits", section_hits(F.col("full_text")))
     n = F.size("_hits")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -17,20 +16,25 @@ class Embedder(Protocol):
 
 
 class NgramEmbedder:
-    """Deterministic and offline: hashed character trigrams, L2-normalised."""
+    """Deterministic and offline: hashed trigrams of code points, L2-normalised.
+
+    A trigram of a padded text, read as a number in base 31, is multiplied by 2654435761 modulo 2**32; bits 16 and up name
+    the dimension, bit 22 the sign.
+    """
 
     def __init__(self, dim: int = 64):
         self.dim = dim
 
     def embed(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.dim), np.float32)
+        out = np.zeros((len(texts), self.dim))
         for row, text in zip(out, texts):
-            padded = f"^{text}$"
-            for k in range(max(1, len(padded) - 2)):
-                h = hashlib.md5(padded[k : k + 3].encode()).digest()
-                row[h[0] % self.dim] += 1.0 if h[1] & 1 else -1.0
-            row /= np.linalg.norm(row) or 1.0
-        return out
+            c = np.frombuffer(f"^{text}$".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+            if len(c) < 3:
+                c = np.concatenate((c, np.zeros(3 - len(c), np.int64)))
+            h = ((c[:-2] * 31 + c[1:-1]) * 31 + c[2:]) * 2654435761 % 2**32
+            row += np.bincount((h >> 16) % self.dim, np.where(h >> 22 & 1, 1.0, -1.0), self.dim)
+        norm = np.sqrt((out * out).sum(1, keepdims=True))
+        return (out / np.where(norm > 0, norm, 1)).astype(np.float32)
 
 
 def embed(df: DataFrame, embedder: Embedder, text: str = "text", name: str = "embedding") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from factloom.functions.text import company_name, doc_id, format_context, source_id, stock_code
 from factloom.operators import chunking, extract, facts, records, sections, vector
+from factloom.shared import materialize
 from factloom.schemas import DEAL_FIELDS, FAILED, PARTIAL, SUCCESS
 
 QUERIES: dict = {}
@@ -72,16 +73,26 @@ def vector_topk_section(spark, sf_dir):
     return _hits(vector.search_sections(_index(spark, sf_dir), _vector_of(spark, sf_dir, 0), ["pri", "valu"], 8))
 
 
-@query("""WITH q AS (SELECT vec_id AS query_id, list_transform(embedding, lambda x: x::DOUBLE) AS q FROM embeddings WHERE vec_id IN (0, 1, 2, 3)),
+@query("""WITH q AS (SELECT vec_id AS query_id, list_transform(embedding, lambda x: x::DOUBLE) AS q FROM embeddings WHERE vec_id % 20 = 0),
     s AS (SELECT query_id, label AS doc_id, vec_id AS chunk_id, list_inner_product(list_transform(embedding, lambda x: x::DOUBLE), q) AS score FROM embeddings, q),
     r AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_id) <= 4),
     d AS (SELECT doc_id, chunk_id, max(score) AS score FROM r GROUP BY ALL)
-    SELECT doc_id, chunk_id, round(score, 6) AS score FROM (SELECT * FROM d ORDER BY score DESC, doc_id, chunk_id LIMIT 8)""")
+    SELECT doc_id, chunk_id, round(score, 6) AS score FROM d""")
 def vector_multi_query_dedup(spark, sf_dir):
-    four = _table(spark, sf_dir, "embeddings").where("vec_id in (0, 1, 2, 3)").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), F.lit(1).alias("one"))
-    hits = vector.batch_search(_index(spark, sf_dir).withColumn("one", F.lit(1)), F.broadcast(four), 4, ["one"], ["query_id"])
+    """The four best of every query, joined, each chunk once with its best score."""
+    asked = _table(spark, sf_dir, "embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), F.lit(1).alias("one"))
+    hits = vector.batch_search(_index(spark, sf_dir).withColumn("one", F.lit(1)), asked, 4, ["one"], ["query_id"])
     best = vector.dedup_hits(hits.select("doc_id", "chunk_id", "section", "score", "query_id", "rank"), [], ["query_id", "rank"])
-    return best.orderBy(F.desc("score"), "doc_id", "chunk_id").limit(8).select("doc_id", "chunk_id", F.round("score", 6).alias("score"))
+    return best.select("doc_id", "chunk_id", F.round("score", 6).alias("score"))
+
+
+@query("""WITH a AS (SELECT label AS doc_id, vec_id AS chunk_id FROM embeddings WHERE label < 6), b AS (SELECT label AS doc_id, vec_id + 1000000 AS chunk_id FROM embeddings WHERE label >= 4)
+    SELECT * FROM a WHERE doc_id NOT IN (SELECT doc_id FROM b) UNION ALL SELECT * FROM b""")
+def index_append(spark, sf_dir):
+    """Chunks of documents that come again replace the former ones."""
+    ix = _index(spark, sf_dir)
+    new = ix.where("doc_id >= 4").withColumn("chunk_id", F.col("chunk_id") + 1000000)
+    return vector.append(ix.where("doc_id < 6"), new).select("doc_id", "chunk_id")
 
 
 @query("SELECT DISTINCT label AS doc_id FROM embeddings")
@@ -95,9 +106,47 @@ def embedding_dimension(spark, sf_dir):
     return v.select("vec_id", vector.dimension(v).alias("dim"))
 
 
-@query()
+def _embed_sql(source: str, key: str) -> str:
+    """CTEs `vectors(key, v)` of a relation (key, text), by the arithmetic of NgramEmbedder."""
+    return f"""chars AS (SELECT {key}, list_transform(string_split('^' || text || '$', ''), lambda c: ord(c)::BIGINT) AS c FROM {source}),
+    grams AS (SELECT {key}, unnest(list_transform(range(1, greatest(len(c) - 1, 2)), lambda i: ((c[i] * 31 + c[i + 1]) * 31 + coalesce(c[i + 2], 0)) * 2654435761 % 4294967296)) AS h FROM chars),
+    dims AS (SELECT {key}, (h // 65536) % 64 AS d, sum(CASE WHEN (h // 4194304) % 2 = 1 THEN 1 ELSE -1 END)::DOUBLE AS x FROM grams GROUP BY ALL),
+    norms AS (SELECT {key}, sqrt(sum(x * x)) AS n FROM dims GROUP BY ALL),
+    vectors AS (SELECT {key}, list_transform(range(0, 64), lambda i: coalesce(m[i], 0.0)::FLOAT) AS v FROM
+        (SELECT {key}, map(list(d), list((CASE WHEN n > 0 THEN x / n ELSE 0.0 END))) AS m FROM dims JOIN norms USING ({key}) GROUP BY {key}))"""
+
+
+_ROUNDED = "array_to_string(list_transform(v, lambda x: round(x::DOUBLE * 10000)::BIGINT), ',')"
+
+
+def _rounded(vector_column: str):
+    return F.array_join(F.transform(vector_column, lambda x: F.round(x.cast("double") * 10000).cast("long")), ",")
+
+
+@query(f"WITH {_embed_sql('documents', 'doc_id')} SELECT doc_id, {_ROUNDED} AS embedding FROM vectors")
 def embed_texts(spark, sf_dir):
-    return vector.embed(_table(spark, sf_dir, "benchmark").select("item_id", "text"), vector.NgramEmbedder()).select("item_id", F.transform("embedding", lambda x: F.round(x, 4)).alias("embedding"))
+    return vector.embed(_table(spark, sf_dir, "documents").select("doc_id", "text"), vector.NgramEmbedder()).select("doc_id", _rounded("embedding").alias("embedding"))
+
+
+def _items(spark, sf_dir):
+    b = _table(spark, sf_dir, "benchmark")
+    section = F.element_at(F.array(*map(F.lit, SECTIONS)), (F.col("item_id") % 5 + 1).cast("int"))
+    return vector.build(b.select((F.col("item_id") % 7).alias("doc_id"), F.col("item_id").alias("chunk_id"), section.alias("section"), "text"), vector.NgramEmbedder())
+
+
+_ITEMS_SQL = f"""WITH src AS (SELECT item_id, text FROM benchmark UNION ALL SELECT -1, 'transaction price and payment'), {_embed_sql('src', 'item_id')},
+    s AS (SELECT x.item_id % 7 AS doc_id, x.item_id AS chunk_id, ['overview','pricing','valuation','commitment','purpose'][x.item_id % 5 + 1] AS section,
+          list_inner_product(list_transform(x.v, lambda a: a::DOUBLE), list_transform(q.v, lambda a: a::DOUBLE)) AS score FROM vectors x, vectors q WHERE x.item_id >= 0 AND q.item_id = -1)"""
+
+
+@query(f"{_ITEMS_SQL} SELECT {_OUT} FROM (SELECT * FROM s {_ORDER} LIMIT 8)")
+def text_search(spark, sf_dir):
+    return _hits(vector.search_text(_items(spark, sf_dir), vector.NgramEmbedder(), "transaction price and payment"))
+
+
+@query(f"{_ITEMS_SQL} SELECT {_OUT} FROM (SELECT * FROM s WHERE doc_id = 2 AND (contains(section, 'pri') OR contains(section, 'pur')) {_ORDER} LIMIT 5)")
+def text_search_section(spark, sf_dir):
+    return _hits(vector.search_sections_text(_items(spark, sf_dir), vector.NgramEmbedder(), "transaction price and payment", ["pri", "pur"], top_k=5, doc_id=2))
 
 
 def _paragraphs(spark, sf_dir):
@@ -247,9 +296,16 @@ def _facts(spark, sf_dir):
     return facts.latest(_versions(spark, sf_dir), "doc_id", ["ts", "event_id"])
 
 
-@query(f"{_FACTS_SQL} SELECT doc_id, event_id, status FROM facts")
+@query(f"""{_FACTS_SQL}, old AS (SELECT * FROM v WHERE event_id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY ts DESC, event_id DESC) = 1),
+    new AS (SELECT * FROM v WHERE event_id % 2 = 1 AND doc_id % 3 > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY ts DESC, event_id DESC) = 1)
+    SELECT doc_id, event_id, status, epoch_us(ts) AS created, epoch_us(ts) AS updated FROM old WHERE doc_id NOT IN (SELECT doc_id FROM new)
+    UNION ALL SELECT new.doc_id, new.event_id, new.status, coalesce(epoch_us(old.ts), 1600000000000000), 1600000000000000 FROM new LEFT JOIN old USING (doc_id)""")
 def fact_upsert(spark, sf_dir):
-    return _facts(spark, sf_dir).select("doc_id", "event_id", "status")
+    """Versions with even event ids are stored; all those with odd ones of some keys come in one batch."""
+    v = _versions(spark, sf_dir)
+    old = facts.latest(v.where("event_id % 2 = 0"), "doc_id", ["ts", "event_id"]).withColumns({"created_at": F.col("ts").cast("timestamp"), "updated_at": F.col("ts").cast("timestamp")})
+    out = facts.upsert(old, v.where("event_id % 2 = 1 and doc_id % 3 > 0"), F.timestamp_seconds(F.lit(1600000000)), order=["ts", "event_id"])
+    return out.select("doc_id", "event_id", "status", F.unix_micros("created_at").alias("created"), F.unix_micros("updated_at").alias("updated"))
 
 
 @query(f"{_FACTS_SQL} SELECT doc_id, '' AS company_name, lpad(doc_id::VARCHAR, 6, '0') AS stock_code, status, epoch_us(ts) AS created_at FROM facts")
@@ -335,7 +391,7 @@ def extract_three_rounds(spark, sf_dir):
     stated = F.when(F.col("page_number") == 1, F.lit("\nacquirer: A\ntarget: B\n")).otherwise(F.lit("\ndeal_type: cash\n"))
     pages = _pages(spark, sf_dir).withColumn("text", F.concat("text", stated))
     embedder = vector.NgramEmbedder()
-    index = extract.materialize(vector.build(chunking.chunk_pages(pages), embedder))
+    index = materialize(vector.build(chunking.chunk_pages(pages), embedder))
     docs = pages.select("doc_id").distinct().withColumns({"company_name": F.lit(""), "stock_code": F.lit("")})
     results = extract.extract_fields(index, docs, extract.RuleExtractor(), embedder)
     f = extract.to_facts(results, docs)
@@ -351,6 +407,54 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "chunk_id", "page", "section", "rank", F.round("score", 6).alias("score"))
 
 
-@query()
+_FLAGSHIP_SQL = f"""{_CHUNK_SQL.split("SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY page, i) - 1 AS chunk_id")[0].rstrip()},
+    chunks AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY page, i) - 1 AS chunk_id, text, page, role AS section FROM flat WHERE trim(text) <> ''),
+    src AS (SELECT doc_id || '/' || chunk_id AS k, text FROM chunks UNION ALL SELECT doc_id || '/q', t FROM pg WHERE page = 1),
+    {_embed_sql('src', 'k')},
+    s AS (SELECT c.doc_id, c.chunk_id, c.page, c.section, list_inner_product(list_transform(x.v, lambda a: a::DOUBLE), list_transform(q.v, lambda a: a::DOUBLE)) AS score
+          FROM chunks c JOIN vectors x ON x.k = c.doc_id || '/' || c.chunk_id JOIN vectors q ON q.k = c.doc_id || '/q')
+    SELECT doc_id, chunk_id, page, section, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, chunk_id) AS rank, round(score, 6) AS score FROM s QUALIFY rank <= 8"""
+
+
+@query(_FLAGSHIP_SQL)
 def flagship_grouped_topk(spark, sf_dir):
-    return flagship(spark, sf_dir)
+    return flagship(spark, sf_dir).withColumns({"chunk_id": F.col("chunk_id").cast("long"), "page": F.col("page").cast("long"), "rank": F.col("rank").cast("long")})
+
+
+_HEADED = ["第一节 交易概述", "第十二章　定价方式", "二、标的估值", "十一．业绩承诺", "### 交易目的"]
+
+
+@query("""WITH p AS (SELECT c_custkey, c_custkey % 5 AS a, c_custkey % 3 AS b, ['第一节 交易概述','第十二章　定价方式','二、标的估值','十一．业绩承诺','### 交易目的'] AS h FROM customer),
+    t AS (SELECT c_custkey, 'x' || repeat('y', (c_custkey % 4)::INT) || chr(10) || h[a + 1] || chr(10) || 'body ' || c_custkey || chr(10) || h[b + 3] || chr(10) || 'end' AS text, h[a + 1] AS one, h[b + 3] AS two FROM p),
+    pos AS (SELECT *, 2 + c_custkey % 4 AS p1, 2 + c_custkey % 4 + length(one) + 1 + length('body ' || c_custkey) + 1 AS p2 FROM t)
+    SELECT c_custkey, p1::BIGINT AS first_at, ltrim(replace(one, '#', '')) AS first_title, p2::BIGINT AS second_at, ltrim(replace(two, '#', '')) AS second_title, 2::BIGINT AS n FROM pos""")
+def chinese_headings(spark, sf_dir):
+    """Headings of all three patterns between lines of text."""
+    every = F.array(*map(F.lit, _HEADED))
+    c = _table(spark, sf_dir, "customer").select("c_custkey", F.element_at(every, (F.col("c_custkey") % 5 + 1).cast("int")).alias("one"), F.element_at(every, (F.col("c_custkey") % 3 + 3).cast("int")).alias("two"))
+    text = F.concat(F.lit("x"), F.repeat(F.lit("y"), (F.col("c_custkey") % 4).cast("int")), F.lit("\n"), "one", F.lit("\nbody "), F.col("c_custkey").cast("string"), F.lit("\n"), "two", F.lit("\nend"))
+    h = c.select("c_custkey", sections.section_hits(text).alias("h"))
+    at = lambda i, f: F.get("h", F.lit(i))[f]
+    return h.select("c_custkey", at(0, "pos").cast("long").alias("first_at"), at(0, "title").alias("first_title"), at(1, "pos").cast("long").alias("second_at"), at(1, "title").alias("second_title"), F.size("h").cast("long").alias("n"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 2 END AS n, '一、' || chr(65 + (c_custkey % 26)::INT) AS first_title FROM customer""")
+def heading_dedup(spark, sf_dir):
+    """Two headings that start less than five characters apart are one, the first."""
+    letter = F.char(F.col("c_custkey") % 26 + 65)
+    gap = F.when(F.col("c_custkey") % 2 == 0, "").otherwise("filler\n")
+    h = _table(spark, sf_dir, "customer").select("c_custkey", sections.section_hits(F.concat(F.lit("一、"), letter, F.lit("\n"), gap, F.lit("二、B\n"))).alias("h"))
+    return h.select("c_custkey", F.size("h").alias("n"), F.get("h", F.lit(0))["title"].alias("first_title"))
+
+
+@query("""SELECT c_custkey, 1 + (c_custkey % 3) AS n_chunks, 1 + CASE WHEN c_custkey % 3 = 2 THEN 1 ELSE 0 END AS last_page FROM customer""")
+def chunk_offset_pages(spark, sf_dir):
+    """A page's end lies between two blocks of one section, whose pages are found by the estimated offsets."""
+    table = F.concat(F.lit("| "), F.repeat(F.lit("t"), 400), F.lit(" |\n"))
+    extra = F.col("c_custkey") % 3
+    one = F.concat(F.lit("## Part\nbefore\n"), F.when(extra >= 1, table).otherwise(""))
+    c = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("doc_id"), extra.alias("extra"), one.alias("one"))
+    first = c.select("doc_id", F.lit(1).alias("page_number"), F.col("one").alias("text"))
+    second = c.where("extra = 2").select("doc_id", F.lit(2).alias("page_number"), F.lit("after the table").alias("text"))
+    chunks = chunking.chunk_pages(first.unionByName(second))
+    return chunks.groupBy(F.col("doc_id").cast("long").alias("c_custkey")).agg(F.count("*").alias("n_chunks"), F.max("page").alias("last_page"))

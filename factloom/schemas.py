@@ -9,6 +9,22 @@ from pyspark.sql import types as T
 DEAL_FIELDS = ["acquirer", "acquirer_quote", "target", "target_quote", "deal_type", "deal_amount", "deal_amount_quote", "share_price", "payment_method", "target_valuation", "target_valuation_quote", "valuation_method", "performance_commitment", "performance_commitment_quote"]
 PURPOSE_FIELDS = ["strategic_purpose", "strategic_purpose_quote", "synergy", "synergy_quote", "industry_logic", "industry_logic_quote", "summary"]
 RECORDS = {"deal_summary": DEAL_FIELDS, "acquisition_purpose": PURPOSE_FIELDS}
+#: What each target field holds, as told to the model.
+ABOUT = {
+    "acquirer": "the company that buys",
+    "target": "the company or assets that are bought",
+    "deal_type": "the kind of transaction, such as share purchase, merger by absorption or asset sale",
+    "deal_amount": "the total price with its currency and unit",
+    "share_price": "the price of each share that is issued",
+    "payment_method": "how the price is paid: shares, cash or both, with their shares",
+    "target_valuation": "the appraised value of what is bought, with the base date if stated",
+    "valuation_method": "the appraisal method whose result is used",
+    "performance_commitment": "the promised profits by year and what is due if they are missed",
+    "strategic_purpose": "why the parties do the transaction",
+    "synergy": "the advantages expected from joining the businesses",
+    "industry_logic": "the state and trend of the industry that speak for the transaction",
+    "summary": "the purpose of the transaction in two or three sentences",
+}
 SUCCESS, PARTIAL, FAILED = "success", "partial", "failed"
 
 PAGE = "doc_id string, page_number int, text string"
