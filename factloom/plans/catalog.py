@@ -45,12 +45,12 @@ def _vector_of(spark: SparkSession, sf_dir: str, vec_id: int) -> list[float]:
 _SCORED = """WITH q AS (SELECT list_transform(embedding, lambda x: x::DOUBLE) AS q FROM embeddings WHERE vec_id = 0),
     s AS (SELECT label AS doc_id, vec_id AS chunk_id, ['overview','pricing','valuation','commitment','purpose'][label % 5 + 1] AS section,
           list_inner_product(list_transform(embedding, lambda x: x::DOUBLE), q) AS score FROM embeddings, q)"""
-_OUT = "doc_id, chunk_id, section, round(score, 6) AS score"
+_OUT = "doc_id, chunk_id, section, round(score, 6) + 0.0 AS score"
 _ORDER = "ORDER BY score DESC, doc_id, chunk_id"
 
 
 def _hits(df: DataFrame) -> DataFrame:
-    return df.select("doc_id", "chunk_id", "section", F.round("score", 6).alias("score"))
+    return df.select("doc_id", "chunk_id", "section", (F.round("score", 6) + 0.0).alias("score"))
 
 
 @query(f"{_SCORED} SELECT {_OUT} FROM (SELECT * FROM s {_ORDER} LIMIT 8)")
@@ -77,13 +77,13 @@ def vector_topk_section(spark, sf_dir):
     s AS (SELECT query_id, label AS doc_id, vec_id AS chunk_id, list_inner_product(list_transform(embedding, lambda x: x::DOUBLE), q) AS score FROM embeddings, q),
     r AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_id) <= 4),
     d AS (SELECT doc_id, chunk_id, max(score) AS score FROM r GROUP BY ALL)
-    SELECT doc_id, chunk_id, round(score, 6) AS score FROM d""")
+    SELECT doc_id, chunk_id, round(score, 6) + 0.0 AS score FROM d""")
 def vector_multi_query_dedup(spark, sf_dir):
     """The four best of every query, joined, each chunk once with its best score."""
     asked = _table(spark, sf_dir, "embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), F.lit(1).alias("one"))
     hits = vector.batch_search(_index(spark, sf_dir).withColumn("one", F.lit(1)), asked, 4, ["one"], ["query_id"])
     best = vector.dedup_hits(hits.select("doc_id", "chunk_id", "section", "score", "query_id", "rank"), [], ["query_id", "rank"])
-    return best.select("doc_id", "chunk_id", F.round("score", 6).alias("score"))
+    return best.select("doc_id", "chunk_id", (F.round("score", 6) + 0.0).alias("score"))
 
 
 @query("""WITH a AS (SELECT label AS doc_id, vec_id AS chunk_id FROM embeddings WHERE label < 6), b AS (SELECT label AS doc_id, vec_id + 1000000 AS chunk_id FROM embeddings WHERE label >= 4)
@@ -404,7 +404,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = vector.build(chunking.chunk_pages(_pages(spark, sf_dir)), embedder)
     queries = vector.embed(_pages(spark, sf_dir).where("page_number = 1").select("doc_id", "text"), embedder, "text", "query").select("doc_id", "query")
     hits = vector.batch_search(index, queries, 8, ["doc_id"], ["doc_id"])
-    return hits.select("doc_id", "chunk_id", "page", "section", "rank", F.round("score", 6).alias("score"))
+    return hits.select("doc_id", "chunk_id", "page", "section", "rank", (F.round("score", 6) + 0.0).alias("score"))
 
 
 _FLAGSHIP_SQL = f"""{_CHUNK_SQL.split("SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY page, i) - 1 AS chunk_id")[0].rstrip()},
@@ -413,7 +413,7 @@ _FLAGSHIP_SQL = f"""{_CHUNK_SQL.split("SELECT doc_id, row_number() OVER (PARTITI
     {_embed_sql('src', 'k')},
     s AS (SELECT c.doc_id, c.chunk_id, c.page, c.section, list_inner_product(list_transform(x.v, lambda a: a::DOUBLE), list_transform(q.v, lambda a: a::DOUBLE)) AS score
           FROM chunks c JOIN vectors x ON x.k = c.doc_id || '/' || c.chunk_id JOIN vectors q ON q.k = c.doc_id || '/q')
-    SELECT doc_id, chunk_id, page, section, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, chunk_id) AS rank, round(score, 6) AS score FROM s QUALIFY rank <= 8"""
+    SELECT doc_id, chunk_id, page, section, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, chunk_id) AS rank, round(score, 6) + 0.0 AS score FROM s QUALIFY rank <= 8"""
 
 
 @query(_FLAGSHIP_SQL)
