@@ -45,20 +45,21 @@ def _whole(words: Column, size: int) -> Column:
     return F.when(F.size(words) >= size, _shingles(words, size)).otherwise(F.array(F.xxhash64(words)))
 
 
-def _fingerprint(shingles: Column) -> tuple[Column, Column]:
-    # 32 sums of two 32-bit counters each, so that a shingle costs 32 steps and not 64
-    lanes = F.lit(0x0000000100000001)
+def _fingerprint(shingles: Column, width: int) -> tuple[Column, Column]:
+    # `width` sums of 64 / width counters each, so that a shingle costs `width` steps and not 64
+    counters = 64 // width
+    lanes, full = F.lit(sum(1 << width * i for i in range(counters))), F.lit((1 << width) - 1)
     half = F.size(shingles)
 
     def sums(k: int) -> Column:
         return F.aggregate(shingles, F.lit(0).cast("long"), lambda s, h: s + F.shiftrightunsigned(h, k).bitwiseAND(lanes))
 
-    bits = [F.when(F.shiftrightunsigned(F.get("sums", F.lit(k)), 32 * lane).bitwiseAND(F.lit(0xFFFFFFFF)) * 2 > half, F.lit(1 << 32 * lane + k if 32 * lane + k < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("long") for k in range(32) for lane in range(2)]
-    return F.array(*[sums(k) for k in range(32)]), sum(bits[1:], bits[0])
+    bits = [F.when(F.shiftrightunsigned(F.get("sums", F.lit(k)), width * lane).bitwiseAND(full) * 2 > half, F.lit(1 << width * lane + k if width * lane + k < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("long") for k in range(width) for lane in range(counters)]
+    return F.array(*[sums(k) for k in range(width)]), sum(bits[1:], bits[0])
 
 
-def _with_fingerprint(df: DataFrame, shingles: str, name: str) -> DataFrame:
-    sums, fp = _fingerprint(F.col(shingles))
+def _with_fingerprint(df: DataFrame, shingles: str, name: str, width: int) -> DataFrame:
+    sums, fp = _fingerprint(F.col(shingles), width)
     return df.withColumn("sums", sums).withColumn(name, fp).drop("sums")
 
 
@@ -124,8 +125,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: floa
     held = held.select("doc_id", "words", F.explode_outer("places").alias("p")).select("doc_id", "words", "p.*")
     windows = held.select("doc_id", "card", F.explode_outer(F.transform("starts", lambda x: F.slice("words", x + 1, F.col("n")))).alias("w"))
     windows = windows.select("doc_id", "card", _whole(F.col("w"), size).alias("of_window")).distinct()
-    windows = _with_fingerprint(windows, "of_window", "fp")
-    cards = _with_fingerprint(items.select("item_id", "card", F.col("shingles").alias("of_item")), "of_item", "item_fp")
+    width = 16 if items.agg(F.max("n")).first()[0] < 1 << 16 else 32  # windows are as long as their items, and counters hold their counts
+    windows = _with_fingerprint(windows, "of_window", "fp", width)
+    cards = _with_fingerprint(items.select("item_id", "card", F.col("shingles").alias("of_item")), "of_item", "item_fp", width)
     left = windows.select("*", F.posexplode_outer(_blocks(F.col("fp"))).alias("block", "bits"))
     right = cards.select("*", F.posexplode_outer(_blocks(F.col("item_fp"))).alias("block", "bits"))
     differ = F.col("fp").bitwiseXOR(F.col("item_fp"))
