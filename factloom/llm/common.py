@@ -5,16 +5,13 @@ Words are runs of bytes other than 0x20 and 0x09-0x0D; `bytes.split()` splits at
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from factloom import shared
+
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
 _C = np.uint64(0xBF58476D1CE4E5B9)
@@ -25,35 +22,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one of our own only where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="factloom-")
-        atexit.register(shutil.rmtree, found[7:], ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write df to the shared folder and read it back, so a lost executor loses nothing.
+    """As the library's materialize(); afterwards Spark may delete the shuffle files of the plan that has ended.
 
-    The driver's collection afterwards lets Spark delete the shuffle files of the plan that has ended.
+    It does so for plans that the driver has collected, hence the collection of the driver's own (small) heap; executors
+    are not paused. Sessions without a JVM of their own (Connect) leave this to the server.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/factloom/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    out = spark.read.schema(df.schema).parquet(path)
-    out._written = path
+    out = shared.materialize(df)
+    if (jvm := _jvm(df.sparkSession)) is not None:
+        jvm.System.gc()
     return out
 
 
+def _jvm(spark: SparkSession):
+    return getattr(getattr(spark, "_sc", None), "_jvm", None)
+
+
 def release(df: DataFrame) -> None:
-    """Delete a table of materialize() that nothing needs any more."""
-    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(df._written)
-    path.getFileSystem(conf).delete(path, True)
+    """Delete a table of materialize() that nothing needs any more; without a JVM of our own it stays."""
+    if (jvm := _jvm(df.sparkSession)) is not None:
+        path = jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None
+        if path is not None:
+            path.getFileSystem(df.sparkSession._sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def binary_column(batch: pa.RecordBatch, name: str) -> list:
