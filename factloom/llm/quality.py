@@ -5,11 +5,13 @@ with either; the difference of the two sizes over the text's length says which k
 calibrator, fitted on labelled texts that no dictionary has seen, turns it, with the size without a dictionary (which
 shows repetition) and the length, into a score from 0 to 1.
 
-Fitted on at most PER_CLASS labelled rows of each class, of at most LONGEST characters each; scoring reads whole texts.
+Fitted on a bounded sample of labelled rows: `per_class` of each class by hash of doc_id, long ones among them, as far as
+`characters` in all go. Scoring reads whole texts.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import binary_column, crc_mod
 
-PER_CLASS, LONGEST, PIECE, DICT_BYTES, LEVEL = 2000, 20_000, 1024, 65_536, 3
+PER_CLASS, CHARACTERS, PIECE, DICT_BYTES, LEVEL = 2000, 64_000_000, 1024, 65_536, 3
 
 
 class _Compressors:
@@ -71,17 +73,28 @@ def _dictionary(texts: list[bytes]) -> bytes:
         return b"".join(pieces)[-DICT_BYTES:] or b"\n" * 8
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn) -> QualityModel:
+def fit(docs: DataFrame, labels: DataFrame, learn, per_class: int = PER_CLASS, characters: int = CHARACTERS) -> QualityModel:
     """learn: a condition on doc_id that the labelled rows to learn from meet.
 
+    per_class and characters bound the sample, which the driver holds: rows in order of a hash of doc_id, each of them whole,
+    without those that do not fit what is left of `characters`.
+
     Rows without doc_id, or with a quality other than 0 and 1, teach nothing. With one class alone, or no labels, scores
     tend to that class's share, or 0.5.
     """
     known = labels.where("doc_id is not null and quality in (0, 1)").where(learn).select("doc_id", "quality").dropDuplicates(["doc_id"])
     order = F.xxhash64("doc_id")
-    some = [known.where(F.col("quality") == q).orderBy(order, "doc_id").limit(PER_CLASS) for q in (0, 1)]
-    rows = docs.select("doc_id", "text").where(f"length(text) <= {LONGEST}").join(F.broadcast(some[0].unionByName(some[1])), "doc_id")
-    rows = sorted((r["doc_id"], r["quality"], r["text"]) for r in rows.dropDuplicates(["doc_id"]).collect())
+    some = [known.where(F.col("quality") == q).orderBy(order, "doc_id").limit(per_class) for q in (0, 1)]
+    named = F.broadcast(some[0].unionByName(some[1]))  # at most 2 * per_class rows
+    sizes = docs.join(named, "doc_id").groupBy("doc_id").agg(F.coalesce(F.max(F.length("text")), F.lit(0)).alias("n")).collect()
+    chosen, left = [], characters
+    for r in sorted(sizes, key=lambda r: zlib.crc32(str(r["doc_id"]).encode())):
+        if r["n"] <= left:
+            chosen.append((r["doc_id"],))
+            left -= r["n"]
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long"))
+    rows = docs.select("doc_id", "text").join(wanted, "doc_id").join(named, "doc_id").dropDuplicates(["doc_id"])
+    rows = sorted((r["doc_id"], r["quality"], r["text"] or "") for r in rows.collect())
     texts = {(q, half): [t.encode() for k, (_, label, t) in enumerate(rows) if label == q and k % 2 == half and t] for q in (0, 1) for half in (0, 1)}
     good, bad = _dictionary(texts[1, 0]), _dictionary(texts[0, 0])
     made = _Compressors(good, bad)
@@ -100,17 +113,17 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> QualityModel:
     return QualityModel(good, bad, mean, scale, w)
 
 
-def score_rows(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """docs(text, ...) with a column score (which replaces one of that name); null and empty texts get the score of no text."""
-    docs = docs.drop("score")
+def score_rows(docs: DataFrame, model: QualityModel, name: str = "score") -> DataFrame:
+    """docs(text, ...) with a column `name` (which replaces one of that name); null and empty texts get the score of no text."""
+    docs = docs.drop(name)
 
     def run(batches):
         made = _Compressors(model.good, model.bad)
         for batch in batches:
             x = np.array([made.features(t) for t in binary_column(batch, "text")]).reshape(-1, 3)
-            yield batch.append_column("score", pa.array(model.probability(x), pa.float64()))
+            yield batch.append_column(name, pa.array(model.probability(x), pa.float64()))
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def score(docs: DataFrame, model: QualityModel) -> DataFrame:

@@ -168,6 +168,17 @@ def test_quality(spark):
     assert np.mean([r["predicted"] == r["quality"] for r in found]) >= 0.95
 
 
+def test_clean_long_documents_are_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    good = [r["text"] for r in docs.join(labels.where("quality = 1"), "doc_id").orderBy("doc_id").limit(60).collect()]
+    bad = [r["text"] for r in docs.join(labels.where("quality = 0"), "doc_id").orderBy("doc_id").limit(60).collect()]
+    model = quality.fit(docs, labels, quality.crc_mod("doc_id", 3) != 1, per_class=150, characters=2_000_000)
+    long = spark.createDataFrame([(1, " ".join(good * 8)), (2, " ".join(bad * 8))], SCHEMA)
+    got = {r["doc_id"]: r["score"] for r in quality.score(long, model).collect()}
+    assert got[1] >= 0.5 > got[2]
+
+
 def test_quality_of_odd_rows(spark, docs):
     labels = spark.createDataFrame([(1, 1), (None, 0), (2, None)], "doc_id long, quality int")
     got = quality.quality(docs, labels).collect()
