@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -44,19 +45,23 @@ def _missing(error: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in (error.getCondition() or "")
 
 
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    # folders below are no partitions of a table, whatever their names
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """A file of any extension, or a folder's *.pdf (not below it), by path -> (path, doc_id). Spark lists, not the driver."""
     try:
-        found = spark.read.format("binaryFile").load(path).select("path")
+        found = _files(spark, path).select("path")
     except AnalysisException as e:
         if _missing(e):
             raise FileNotFoundError(path) from None
         raise
-    name = path.rstrip("/").rsplit("/", 1)[-1]
-    own = F.regexp_extract(F.col("path"), r"([^/]*)\z", 1)
-    parent = F.regexp_extract(F.col("path"), r"([^/]*)/[^/]*\z", 1)
-    # of a folder the files right in it whose name ends in .pdf; a file given by its own path is the one row there is
-    kept = found.where((F.endswith(own, F.lit(".pdf")) & (parent == name)) | ((own == name) & (parent != name)))
+    root = re.sub(r"^[a-z0-9]+:(//[^/]*)?", "", path.rstrip("/"))
+    folder = F.regexp_extract(F.col("path"), r"(.*)/[^/]*\z", 1)
+    inside = F.endswith(F.col("path"), F.lit(".pdf")) & F.endswith(folder, F.lit(root))
+    kept = found.where(inside | (F.endswith(F.col("path"), F.lit(root)) & ~F.endswith(folder, F.lit(root))))
     return kept.withColumn("doc_id", doc_id(F.col("path"))).orderBy("path")
 
 
@@ -74,7 +79,7 @@ def read_files(spark: SparkSession, files: DataFrame, parser: PageParser, root:
             yield pd.DataFrame(out, columns=["doc_id", "page_number", "text", "error"]).astype({"page_number": "Int32"})
 
     wanted = files.select("path")
-    content = spark.read.format("binaryFile").load(root).select("path", "content").join(wanted, "path", "left_semi")
+    content = _files(spark, root).select("path", "content").join(wanted, "path", "left_semi")
     pages = content.select(doc_id(F.col("path")).alias("doc_id"), "content").mapInPandas(run, f"{PAGE}, error string")
     return pages.withColumn("text", strip(F.col("text"))).where("error is not null or text <> ''")
 

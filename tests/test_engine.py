@@ -4,17 +4,22 @@ import json
 import random
 import re
 import sys
+import threading
+import types
+from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from factloom import cli, shared
 from factloom.config import Settings
 from factloom.functions.text import company_name, doc_id, stock_code
 from factloom.operators import chunking, extract, facts, records, sections, vector
 from factloom.plans import pipeline
-from factloom.schemas import DEAL_FIELDS, PAGE
-from factloom.sources import files
+from factloom.schemas import ABOUT, CHUNK, DEAL_FIELDS, GROUPS, PAGE
+from factloom.sources import files, models
+from factloom.streaming import ingest
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -146,7 +151,7 @@ class Scripted:
 
 
 def run_fields(spark, extractor):
-    ix = extract.materialize(index(spark).where("doc_id = 'a'"))
+    ix = shared.materialize(index(spark).where("doc_id = 'a'"))
     return {r["field_name"]: r for r in extract.extract_fields(ix, ix.select("doc_id").distinct(), extractor, vector.NgramEmbedder(), attempts=1).collect()}
 
 
@@ -202,3 +207,260 @@ def test_run_and_resume(spark, tmp_path):
     assert found["source_chunks"]
     with pytest.raises(FileNotFoundError):
         files.list_files(spark, f"{tmp_path}/none")
+
+
+def test_control_characters_move_nothing(spark):
+    text = "\x01 b\n## Head one\nbody\x02\n## Head two\nend"
+    r = sections.with_sections(spark.createDataFrame([(text,)], "full_text string")).first()
+    assert [(x["title"], x["text"]) for x in r["sections"]] == [("", "b"), ("Head one", "## Head one\nbody"), ("Head two", "## Head two\nend")]
+    assert all(r["full_text"][x["start"] :].startswith("## ") for x in r["sections"][1:])
+    d = sections.documents(spark.createDataFrame([("d", 1, text), ("d", 2, "x")], PAGE)).first()
+    assert d["full_text"][d["bounds"][1]["start"] :].startswith("x")
+
+
+def windows(text, size, overlap):
+    return [text[k : k + size].strip() for k in range(0, len(text), size - overlap)]
+
+
+@pytest.mark.parametrize("size, overlap", [(10, 3), (10, 9), (7, 0), (1, 0), (50, 49)])
+def test_sliding_windows_are_slices(spark, size, overlap):
+    rng = random.Random(size)
+    texts = ["".join(rng.choice("a b\n　Ａ😀") for _ in range(rng.randrange(0, 70))) for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", chunking.sliding_windows(F.col("t"), size, overlap).alias("w")).collect()
+    assert {r["i"]: r["w"] for r in rows} == {i: windows(t, size, overlap) for i, t in enumerate(texts)}
+
+
+def test_blocks_are_runs_of_lines(spark):
+    rng = random.Random(5)
+    texts = ["\n".join(rng.choice(["| a |", " | b", "text", "", "　", "|"]) for _ in range(rng.randrange(1, 30))) for _ in range(100)]
+
+    def runs(text):
+        out = []
+        for line in text.split("\n"):
+            kind = "table" if line.strip().startswith("|") else "text"
+            if out and out[-1][0] == kind:
+                out[-1][1].append(line)
+            else:
+                out.append((kind, [line]))
+        return [(k, "\n".join(x).strip()) for k, x in out if "\n".join(x).strip()]
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", chunking.blocks(F.col("t")).alias("b")).collect()
+    assert {r["i"]: [(b["type"], b["content"]) for b in r["b"]] for r in rows} == {i: runs(t) for i, t in enumerate(texts)}
+
+
+def test_trimming_is_that_of_str(spark):
+    rows = [(i, f"{chr(i)}a{chr(i)}") for i in [*range(0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF, 0x180E]]
+    got = spark.createDataFrame(rows, "i int, t string").select("i", sections.strip(F.col("t")).alias("s")).collect()
+    assert {r["i"]: r["s"] for r in got} == {i: t.strip() for i, t in rows}
+
+
+def chunk_rows(spark, *rows):
+    return spark.createDataFrame([(d, c, t, 1, "s", {"chunk_type": "text"}) for d, c, t in rows], CHUNK)
+
+
+def test_dumps_keep_other_documents(spark, tmp_path):
+    path = f"file://{tmp_path}/chunks"
+    files.dump_chunks(chunk_rows(spark, ("a", 0, "x"), ("b", 0, "y")), path)
+    files.dump_chunks(chunk_rows(spark, ("b", 0, "new"), ("c", 0, "z")), path)
+    files.dump_chunks(chunk_rows(spark), path)
+    got = {(r["doc_id"], r["text"], r["metadata"]["chunk_type"]) for r in files.read_chunks_jsonl(spark, path).collect()}
+    assert got == {("a", "x", "text"), ("b", "new", "text"), ("c", "z", "text")}
+
+
+def test_index_is_saved_and_loaded(spark, tmp_path):
+    path, e = f"file://{tmp_path}/index", vector.NgramEmbedder()
+    assert files.load_index(spark, path) is None
+    assert not files.save_index(vector.build(chunk_rows(spark), e), path)
+    assert files.save_index(vector.build(chunk_rows(spark, ("a", 0, "x"), ("b", 0, "y")), e), path)
+    assert files.save_index(vector.build(chunk_rows(spark, ("b", 1, "w")), e), path)
+    got = files.load_index(spark, path)
+    assert {(r["doc_id"], r["chunk_id"]) for r in got.collect()} == {("a", 0), ("b", 1)}
+    assert got.select(vector.dimension(got)).first()[0] == 64
+
+
+def test_jsonl_skips_blank_lines_and_refuses_broken_ones(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"doc_id": "a", "chunk_id": 1, "text": "x"}\n\n{"doc_id": "b"}\n')
+    assert [r["doc_id"] for r in files.read_chunks_jsonl(spark, f"{tmp_path}/a.jsonl").collect()] == ["a", "b"]
+    (tmp_path / "b.jsonl").write_text('{"doc_id": ')
+    with pytest.raises(Exception):
+        files.read_chunks_jsonl(spark, f"{tmp_path}/b.jsonl").collect()
+
+
+def test_an_upsert_gives_a_key_one_row(spark):
+    old = spark.createDataFrame([("a", 1)], "doc_id string, v int").withColumn("created_at", F.lit("2020-01-01").cast("timestamp"))
+    new = spark.createDataFrame([("a", 2), ("a", 3), ("b", 5), ("b", 4)], "doc_id string, v int")
+    got = facts.upsert(old, new, F.lit("2021-01-01").cast("timestamp")).collect()
+    assert sorted((r["doc_id"], r["v"], r["created_at"].year) for r in got) == [("a", 3, 2020), ("b", 5, 2021)]
+    assert {r["created_at"].year for r in facts.upsert(old, new, F.lit("2021-01-01").cast("timestamp"), keep_created=False).collect()} == {2021}
+
+
+class Picky(files.TextParser):
+    def pages(self, content):
+        if b"broken" in content:
+            raise ValueError("cannot read")
+        return super().pages(content)
+
+
+def settings_in(folder):
+    return Settings(output_dir=f"file://{folder}/o", index_dir=f"file://{folder}/i", log_dir=f"{folder}/l", db_path=f"file://{folder}/f", llm_max_retries=1)
+
+
+def test_a_broken_file_stops_no_other(spark, tmp_path, caplog):
+    inputs = tmp_path / "in"
+    (inputs / "below").mkdir(parents=True)
+    (inputs / "000001甲公司关于.pdf").write_text("## 第一节 交易概述\nacquirer: A\f\f## 二\nx")
+    (inputs / "000002乙.pdf").write_text("broken")
+    (inputs / "note.txt").write_text("no input")
+    (inputs / "below" / "c.pdf").write_text("no input")
+    assert [r["doc_id"] for r in files.list_files(spark, str(inputs)).collect()] == ["000001甲公司关于", "000002乙"]
+    assert [r["doc_id"] for r in files.list_files(spark, f"{inputs}/note.txt").collect()] == ["note"]
+    pages = files.read_pages(spark, str(inputs), Picky()).collect()
+    assert [(r["page_number"], r["text"][:4]) for r in sorted(pages, key=lambda r: r["page_number"])] == [(1, "## 第"), (3, "## 二")]
+    with caplog.at_level("INFO", "factloom"):
+        got = pipeline.run(spark, str(inputs), settings_in(tmp_path), extract.RuleExtractor(), vector.NgramEmbedder(), Picky())
+    assert got == {"total": 2, "success": 1, "failed": 1, "skipped": 0}
+    assert "000002乙 cannot be read: ValueError: cannot read" in caplog.text
+
+
+def test_pages_of_a_document_in_several_micro_batches(spark, tmp_path):
+    store, settings = facts.FactStore(spark, f"file://{tmp_path}/f"), settings_in(tmp_path)
+
+    def arrive(*rows):
+        spark.createDataFrame(list(rows), PAGE).write.mode("append").parquet(f"{tmp_path}/pages")
+        ingest.start(spark, f"{tmp_path}/pages", f"{tmp_path}/c", store, settings, extract.RuleExtractor(), vector.NgramEmbedder()).awaitTermination()
+
+    arrive(("d", 1, "## 第一节 交易概述\nacquirer: A"), ("e", 1, "target: T"))
+    assert store.get("d")["deal_summary"]["target"] == ""
+    arrive(("d", 2, "## 第二节 交易方案\ntarget: B"))
+    got = store.get("d")["deal_summary"]
+    assert (got["acquirer"], got["target"], store.get("e")["deal_summary"]["target"]) == ("A", "B", "T")
+    index = files.load_index(spark, f"{settings.index_dir}/chunks")
+    assert {(r["doc_id"], r["section"]) for r in index.collect()} == {("d", "第一节 交易概述"), ("d", "第二节 交易方案"), ("e", "")}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    (tmp_path / "000001甲公司关于.txt").write_text("acquirer: A")
+    settings = settings_in(tmp_path)
+    go = lambda *a: cli.main(list(a), spark, settings)
+    assert go("--list") == 0 and "no documents yet" in capsys.readouterr().out
+    assert go("--show", "x") == 1 and "not found" in capsys.readouterr().err
+    assert go(f"{tmp_path}/000001甲公司关于.txt", "--text") == 0 and "'success': 1" in capsys.readouterr().out
+    assert go(f"{tmp_path}/000001甲公司关于.txt", "--text") == 0 and "'skipped': 1" in capsys.readouterr().out
+    assert go(f"{tmp_path}/000001甲公司关于.txt", "--text", "--no-resume") == 0 and "'success': 1" in capsys.readouterr().out
+    assert go("--list") == 0 and "1 documents" in capsys.readouterr().out
+    assert go("--show", "000001甲公司关于") == 0 and json.loads(capsys.readouterr().out)["company_name"] == "甲公司"
+    with pytest.raises(SystemExit):
+        go()
+
+
+def test_settings_come_from_the_environment():
+    s = Settings.load({"LLM_MODEL": "m", "chunk_size": "100", "ENABLE_MULTI_ROUND": "false", "LLM_TEMPERATURE": "0.5", "other": "x"})
+    assert (s.llm_model, s.chunk_size, s.enable_multi_round, s.llm_temperature, s.top_k) == ("m", 100, False, 0.5, 8)
+    assert isinstance(s.extractor(), extract.RuleExtractor) and isinstance(s.embedder(), vector.NgramEmbedder)
+    made = Settings(llm_api_key="k", llm_base_url="http://h/v1", llm_model="m", hyde_max_tokens=9, embedding_model="e")
+    assert made.extractor() == models.ChatClient("http://h/v1", "k", "m", (0.1, 4096), (0.7, 9)) and made.embedder() == models.SentenceEmbedder("e")
+
+
+def test_chat_client():
+    seen = []
+
+    class Answer(BaseHTTPRequestHandler):
+        def do_POST(self):
+            seen.append((self.path, self.headers["Authorization"], json.loads(self.rfile.read(int(self.headers["Content-Length"])))))
+            body = json.dumps({"choices": [{"message": {"content": '{"target": "x"}'}}]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *a):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Answer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    client = models.ChatClient(f"http://127.0.0.1:{server.server_port}/v1/", "key", "m", (0.1, 100), (0.7, 20))
+    assert extract.chat_json(client, "s", "u") == '{"target": "x"}' and extract.chat_text(client, "s", "u")
+    server.shutdown()
+    (path, auth, first), (_, _, second) = seen
+    assert (path, auth) == ("/v1/chat/completions", "Bearer key")
+    assert (first["temperature"], first["max_tokens"], first["response_format"]) == (0.1, 100, {"type": "json_object"})
+    assert (second["temperature"], second["max_tokens"], second["messages"][1]) == (0.7, 20, {"role": "user", "content": "u"})
+    assert extract.chat_text(client, "s", "u") == ""  # the server is gone
+
+
+def test_pdf_pages_and_sentence_vectors_by_their_libraries(monkeypatch):
+    """With stand-ins for libraries that are not installed here."""
+    import numpy as np
+
+    monkeypatch.setitem(sys.modules, "pymupdf", types.SimpleNamespace(open=lambda stream, filetype: stream))
+    monkeypatch.setitem(sys.modules, "pymupdf4llm", types.SimpleNamespace(to_markdown=lambda doc, page_chunks: [{"metadata": {"page": 4}, "text": "x"}, {"text": "y"}]))
+    assert files.PdfParser().pages(b"pdf") == [(4, "x"), (2, "y")]
+    loads = []
+
+    class Model:
+        def __init__(self, name):
+            loads.append(name)
+
+        def encode(self, texts, batch_size, normalize_embeddings):
+            assert normalize_embeddings
+            return np.ones((len(texts), 3))
+
+    monkeypatch.setitem(sys.modules, "sentence_transformers", types.SimpleNamespace(SentenceTransformer=Model))
+    e = models.SentenceEmbedder("small")
+    assert e.embed(["a", "b"]).shape == (2, 3) and e.embed(["c"]).dtype == np.float32 and loads == ["small"]
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    far = lambda **conf: types.SimpleNamespace(conf=Conf({k.replace("_", "."): v for k, v in conf.items()}))
+    with pytest.raises(RuntimeError):
+        shared.shared_dir(far(spark_master="spark://host:7077"))
+    assert shared.shared_dir(far(spark_master="spark://host:7077", **{"spark_checkpoint_dir": "hdfs://x/y/"})) == "hdfs://x/y"
+
+
+class Silent:
+    """Fills nothing but what is asked for by section, i.e. in the third round; counts calls."""
+
+    def __init__(self, folder):
+        self.folder = str(folder)
+
+    def complete_json(self, system, user):
+        with open(f"{self.folder}/calls", "a") as f:
+            f.write("j\n")
+        fields = user.split("\n", 1)[0].removeprefix("fields:").split(",")
+        assert all(f in user.split("\n")[1] for f in fields if f in ABOUT)
+        return json.dumps({f: "by section" if len(fields) <= 4 and "估" in user.split("\n", 2)[2] else "" for f in fields})
+
+    def complete_text(self, system, user):
+        return ""
+
+
+def test_round_three_asks_by_section(spark, tmp_path):
+    rows = [("a", 0, "price of it", 1, "评估"), ("a", 1, "other things", 2, "其他")]
+    ix = shared.materialize(vector.build(spark.createDataFrame([(*r, {"chunk_type": "text"}) for r in rows], CHUNK), vector.NgramEmbedder()))
+    got = {r["field_name"]: r for r in extract.extract_fields(ix, ix.select("doc_id").distinct(), Silent(tmp_path), vector.NgramEmbedder(), attempts=1).collect()}
+    data = got["deal_summary"]["data"]
+    assert data["target_valuation"] == data["valuation_method"] == "by section" and data["acquirer"] == ""
+    assert {r["status"] for r in got.values()} == {"partial"}
+    # one call a group, none of round two as no passage was written, one for each sub-group with a fitting section
+    assert len((tmp_path / "calls").read_text().split()) == len(GROUPS) + 1
+
+
+def test_a_single_round(spark, tmp_path):
+    ix = shared.materialize(index(spark).where("doc_id = 'a'"))
+    got = {r["field_name"]: r for r in extract.extract_fields(ix, ix.select("doc_id").distinct(), Scripted(tmp_path, {"target": "x"}), vector.NgramEmbedder(), multi_round=False, attempts=1).collect()}
+    assert {r["status"] for r in got.values()} == {"success"} and got["deal_summary"]["data"]["target"] == "x"
+    assert (tmp_path / "calls").read_text().split() == ["j", "j"]
+
+
+def test_a_failing_model_fails_the_group(spark):
+    class Down:
+        def complete_json(self, system, user):
+            raise OSError("down")
+
+        complete_text = complete_json
+
+    got = run_fields(spark, Down())
+    assert {(r["status"], r["error"]) for r in got.values()} == {("failed", "no reply")}
