@@ -22,6 +22,7 @@ MAGIC, LANES, STEPS = b"FLID1\0", 4096, 512
 _SLOTS, _UNIT = 18, np.uint64(18)
 _TOTAL = np.uint64(26)
 _HASH = 18
+_NONE, _ALL = np.uint64(0), np.uint64(1) << _UNIT
 _LOW = np.uint64(1) << np.uint64(32)
 _S32 = np.uint64(32)
 _HEAD, _HEAD_SIZE = "<6sIIII", 22  # magic, documents, ids, lanes, vocabulary
@@ -53,6 +54,7 @@ class _Models:
         self.m = share[:, 2].astype(np.uint64)
         self.bound1, self.bound2 = start[:, 1].astype(np.uint64), start[:, 2].astype(np.uint64)
         self.start = (start.astype(np.uint64) << _UNIT).ravel()
+        self.part = share.astype(np.uint64).ravel()
         self.share = (share.astype(np.uint64) << _UNIT).ravel()
 
     def _slots(self) -> None:
@@ -119,11 +121,10 @@ def encode_ids(ids: np.ndarray, vocabulary: int) -> bytes:
         hit2, hit1 = x == model.p2, x == model.p1
         cls = 2 - (hit2.view(np.int8) * 2 + (hit1 & ~hit2))
         k = model.ctx * 3 + cls
-        start, share = model.start.take(k, mode="clip"), model.share.take(k, mode="clip")
-        miss = np.nonzero(cls == 2)[0]
-        m, y = share[miss] >> _UNIT, x[miss]
-        start[miss] += model.c.take(y, mode="clip") * m
-        share[miss] = model.f.take(y, mode="clip") * m
+        start, part = model.start.take(k, mode="clip"), model.part.take(k, mode="clip")
+        miss = cls == 2
+        start += np.where(miss, model.c.take(x, mode="clip"), _NONE) * part
+        share = np.where(miss, model.f.take(x, mode="clip"), _ALL) * part
         rng >>= _TOTAL
         start *= rng
         low += start

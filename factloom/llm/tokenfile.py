@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from . import idcoder
 from .common import materialize
 
-BLOCK_IDS, MEMO = 1 << 21, 800_000
+BLOCK_IDS, MEMO = 1 << 21, 1_000_000
 # Fixed value: the pre-tokenizer's pattern under which texts may be encoded word by word. It keeps no white space, so no
 # token crosses it, takes a run of letters as one piece, and a run of other signs after it as another.
 _APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -74,13 +74,21 @@ class Encoder:
             self.ends = np.zeros(self.vocabulary, bool)
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
             self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-            self.forget()
+            self.number = _Places()
+            self.words = self.number.words
+            self.ids, self.used = np.empty(1 << 20, np.int32), 0
+            self.start, self.size = np.empty(1 << 18, np.int64), np.empty(1 << 18, np.int64)
 
     def forget(self) -> None:
+        """Keeps the first half of the words, which hold the frequent ones."""
+        keep, old = MEMO // 2, self.words
         self.number = _Places()
         self.words = self.number.words
-        self.ids, self.used = np.empty(1 << 20, np.int32), 0
-        self.start, self.size = np.empty(1 << 18, np.int64), np.empty(1 << 18, np.int64)
+        self.words += old[:keep]
+        self.number.update(zip(self.words, range(keep)))
+        self.ids = self._gather(np.arange(keep))
+        self.used = len(self.ids)
+        self.start[:keep] = np.cumsum(self.size[:keep]) - self.size[:keep]
 
     def _store(self, at: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
         while self.used + len(ids) > len(self.ids):
