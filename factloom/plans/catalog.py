@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from factloom.functions.text import company_name, doc_id, format_context, source_id, stock_code
 from factloom.operators import chunking, extract, facts, records, sections, vector
+from factloom.schemas import DEAL_FIELDS, FAILED, GROUPS, PARTIAL, SUCCESS
 from factloom.shared import materialize
-from factloom.schemas import DEAL_FIELDS, FAILED, PARTIAL, SUCCESS
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -385,7 +385,34 @@ def format_hits(spark, sf_dir):
     return g.select("conv_id", format_context(F.col("hits")).alias("context"), F.array_join(F.transform("hits", lambda h: source_id(F.col("conv_id"), h["turn"], h["page"])), ",").alias("sources"))
 
 
-@query()
+_FLAT_SQL = _CHUNK_SQL.split("SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY page, i) - 1 AS chunk_id")[0].rstrip()
+_STATED = "CASE WHEN turn = 0 THEN chr(10) || 'acquirer: A' || chr(10) || 'target: B' || chr(10) ELSE chr(10) || 'deal_type: cash' || chr(10) END"
+
+
+def _rounds_sql() -> str:
+    """Round one's contexts by group and round two's by sub-group; what a context states is found. No section fits round three."""
+    subs = [(g, x.name, n, x.query, x.hyde_query) for n, (g, x) in enumerate((g, x) for g, of in GROUPS.items() for x in of)]
+    asked = " UNION ALL ".join(f"SELECT 'q{n}', '{q}' UNION ALL SELECT 'h{n}', '{h}'" for _, _, n, q, h in subs)
+    names = ", ".join(f"('{g}', '{sub}', {n})" for g, sub, n, _, _ in subs)
+    held = lambda field: f"bool_or(regexp_matches(text, '(^|\\n)\\s*{field}\\s*[:：]\\s*.'))"
+    return f"""{_FLAT_SQL.replace("|| text AS t FROM conversations", f"|| text || {_STATED} AS t FROM conversations")},
+    chunks AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY page, i) - 1 AS chunk_id, text FROM flat WHERE trim(text) <> ''),
+    subs(g, sub, n) AS (VALUES {names}),
+    src(k, text) AS (SELECT doc_id || '/' || chunk_id, text FROM chunks UNION ALL {asked}),
+    {_embed_sql('src', 'k')},
+    wide AS (SELECT k, list_transform(v, lambda a: a::DOUBLE) AS v FROM vectors),
+    scored AS (SELECT c.doc_id, c.chunk_id, c.text, g, sub, n, list_inner_product(x.v, q.v) AS score, list_inner_product(x.v, h.v) AS late
+        FROM chunks c JOIN wide x ON x.k = c.doc_id || '/' || c.chunk_id CROSS JOIN subs JOIN wide q ON q.k = 'q' || n JOIN wide h ON h.k = 'h' || n),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, n ORDER BY score DESC, chunk_id) AS rank, row_number() OVER (PARTITION BY doc_id, n ORDER BY late DESC, chunk_id) AS late_rank FROM scored),
+    best AS (SELECT doc_id, g, chunk_id, any_value(text) AS text, max(score) AS score, min(n * 1000 + rank) AS first_seen FROM ranked WHERE rank <= 4 GROUP BY ALL),
+    one AS (SELECT * FROM best QUALIFY row_number() OVER (PARTITION BY doc_id, g ORDER BY score DESC, first_seen, chunk_id) <= 8),
+    early AS (SELECT doc_id, count(*) AS n, {held('acquirer').replace('text', "CASE WHEN g = 'deal_summary' THEN text ELSE '' END")} AS a, {held('target').replace('text', "CASE WHEN g = 'deal_summary' THEN text ELSE '' END")} AS t, {held('deal_type').replace('text', "CASE WHEN g = 'deal_summary' THEN text ELSE '' END")} AS d FROM one GROUP BY doc_id),
+    two AS (SELECT doc_id, least(count(*), 8) AS each, {held('acquirer').replace('text', "CASE WHEN late_rank <= 8 THEN text ELSE '' END")} AS a, {held('deal_type').replace('text', "CASE WHEN late_rank <= 8 THEN text ELSE '' END")} AS d FROM ranked WHERE sub = 'parties' GROUP BY doc_id)
+    SELECT doc_id, 'partial' AS status, CASE WHEN early.a OR two.a THEN 'A' ELSE '' END AS acquirer, CASE WHEN early.d OR two.d THEN 'cash' ELSE '' END AS deal_type,
+        early.n + two.each * ({len(subs) - 1} + CASE WHEN early.a AND early.t AND early.d THEN 0 ELSE 1 END) AS n_sources FROM early JOIN two USING (doc_id)"""
+
+
+@query(_rounds_sql())
 def extract_three_rounds(spark, sf_dir):
     """Conversations as documents: the offline extractor over chunked, embedded pages; the first turns state some fields."""
     stated = F.when(F.col("page_number") == 1, F.lit("\nacquirer: A\ntarget: B\n")).otherwise(F.lit("\ndeal_type: cash\n"))
@@ -407,7 +434,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "chunk_id", "page", "section", "rank", (F.round("score", 6) + 0.0).alias("score"))
 
 
-_FLAGSHIP_SQL = f"""{_CHUNK_SQL.split("SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY page, i) - 1 AS chunk_id")[0].rstrip()},
+_FLAGSHIP_SQL = f"""{_FLAT_SQL},
     chunks AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY page, i) - 1 AS chunk_id, text, page, role AS section FROM flat WHERE trim(text) <> ''),
     src AS (SELECT doc_id || '/' || chunk_id AS k, text FROM chunks UNION ALL SELECT doc_id || '/q', t FROM pg WHERE page = 1),
     {_embed_sql('src', 'k')},
