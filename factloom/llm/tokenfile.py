@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from . import idcoder
 from .common import materialize
 
-BLOCK_IDS, MEMO = 1 << 21, 1_000_000
+BLOCK_IDS, MEMO = 1 << 21, 700_000
 # Fixed value: the pre-tokenizer's pattern under which texts may be encoded word by word. It keeps no white space, so no
 # token crosses it, takes a run of letters as one piece, and a run of other signs after it as another.
 _APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -54,12 +54,13 @@ class _Places(dict):
 
 
 class Encoder:
-    """Texts to ids by the tokenizer of a file; ids of words are kept, up to MEMO of them, as one array with their places.
+    """Texts to ids by the tokenizer of a file; ids of words are kept, up to about `memo` of them, as one array with their places.
 
     Where words_apart() does not hold, whole texts are encoded instead.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO):
+        self.memo = memo
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -81,7 +82,7 @@ class Encoder:
 
     def forget(self) -> None:
         """Keeps the first half of the words, which hold the frequent ones."""
-        keep, old = MEMO // 2, self.words
+        keep, old = self.memo // 2, self.words
         self.number = _Places()
         self.words = self.number.words
         self.words += old[:keep]
@@ -137,8 +138,14 @@ class Encoder:
             self._store(at, self.size[x] + self.size[y], self._gather(both))
 
     def _gather(self, at: np.ndarray) -> np.ndarray:
-        size = self.size[at]
-        return self.ids[np.repeat(self.start[at] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        out, used = np.empty(int(self.size[at].sum()), np.int32), 0
+        for a in range(0, len(at), 1 << 18):
+            size = self.size[at[a : a + (1 << 18)]]
+            ends = np.cumsum(size)
+            n = int(ends[-1])
+            out[used : used + n] = self.ids[np.repeat(self.start[at[a : a + (1 << 18)]] - ends + size, size) + np.arange(n)]
+            used += n
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has."""
@@ -146,7 +153,7 @@ class Encoder:
         if not self.apart:
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             return np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
-        if len(self.words) > MEMO:
+        if len(self.words) > self.memo:
             self.forget()
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         ends = np.cumsum(np.concatenate(([0], pc.list_value_length(split).to_numpy())))
@@ -169,17 +176,26 @@ def slices(texts: pa.Array, most: int = 1 << 24):
     return [(a, b) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()) if b > a]
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process and file, kept from task to task; what it remembers changes no result."""
-    kept = sys.modules.setdefault("_token_encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+_KEPT = "_factloom_token_encoders"
 
 
-def _encode(path: str, end_id: int):
+def encoder(path: str, memo: int) -> Encoder:
+    """One encoder for each worker process and file, kept from task to task until forget_encoders(); what it remembers changes no result."""
+    kept = sys.modules.setdefault(_KEPT, {})
+    if (path, memo) not in kept:
+        kept[path, memo] = Encoder(path, memo)
+    return kept[path, memo]
+
+
+def forget_encoders() -> None:
+    """Gives the memory of this process's encoders back; reading files does so, as nothing is written any more then."""
+    sys.modules.pop(_KEPT, None)
+    pa.default_memory_pool().release_unused()
+
+
+def _encode(path: str, end_id: int, memo: int):
     def run(batches):
-        made = encoder(path)
+        made = encoder(path, memo)
         part, block = TaskContext.get().partitionId(), 0
         docs, counts, parts, size = [], [], [], 0
 
@@ -192,6 +208,7 @@ def _encode(path: str, end_id: int):
             for a, b in slices(texts):
                 some = batch.column(0)[a:b].to_pylist()
                 x, n = made.encode(texts[a:b])
+                pa.default_memory_pool().release_unused()
                 ends = np.cumsum(n + 1)
                 with_end = np.empty(len(x) + len(some), np.int32)
                 with_end[ends - 1] = end_id
@@ -211,18 +228,19 @@ def _encode(path: str, end_id: int):
     return run
 
 
-def write_ids(docs: DataFrame, path: str, end_id: int = 2, order: tuple = ("doc_id",)) -> DataFrame:
+def write_ids(docs: DataFrame, path: str, end_id: int = 2, order: tuple = ("doc_id",), memo: int = MEMO) -> DataFrame:
     """docs(doc_id, text, ...) -> the written files: (part, block, n_ids, frame), by (part, block) in the order of `order`.
 
     frame is a block that idcoder.decode_block reads by itself. Null texts are empty and have the end id alone; rows
     without doc_id come first in order of doc_id; rows that are equal in `order` stand together, in no fixed order. path: a tokenizer's file, the
-    same on all machines.
+    same on all machines. memo: the words whose ids a worker process keeps, some 400 bytes each.
     """
     ordered = docs.select(*dict.fromkeys(["doc_id", "text", *order])).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    return materialize(ordered.mapInArrow(_encode(path, end_id), "part long, block long, n_ids long, frame binary"))
+    return materialize(ordered.mapInArrow(_encode(path, end_id, memo), "part long, block long, n_ids long, frame binary"))
 
 
 def _decode(batches):
+    forget_encoders()
     for batch in batches:
         parts, blocks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for part, block, frame in zip(parts, blocks, batch.column(2).to_pylist()):
