@@ -63,7 +63,10 @@ def test_near_duplicates(spark, docs, rows):
     assert minhash.near_duplicates(empty(spark)).count() == 0
 
 
-def test_a_large_group_loses_no_link(spark):
+@pytest.mark.parametrize("block", [1024, 50])
+def test_a_large_group_loses_no_link(spark, monkeypatch, block):
+    """Also where lists are cut into many blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(5)
     base = [f"b{k}" for k in range(120)]
     texts = []
