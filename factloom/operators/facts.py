@@ -1,7 +1,11 @@
-"""The fact table: one row for each doc_id in parquet, replaced as a whole by a new version of its folder."""
+"""The fact table: one row for each doc_id in parquet, by buckets that are replaced one by one."""
 
 from __future__ import annotations
 
+import json
+import uuid
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from factloom.schemas import DEAL_FIELDS, FAILED, PARTIAL, PURPOSE_FIELDS, SUCCESS
@@ -34,36 +38,79 @@ def upsert(facts: DataFrame, new: DataFrame, now: Column, keep_created: bool = T
 
 
 class FactStore:
-    """Versions of the table lie side by side under `path`; the highest is read, so no reader sees a half-written one."""
+    """Facts by bucket of their doc_id (crc32 modulo BUCKETS), and manifests that name each bucket's folder.
+
+    A save rewrites the buckets it touches, into a folder of its own, and then adds the next manifest in one step, so no
+    reader sees half of it. The folders of the manifest before stay for readers that have begun; older ones go.
+    """
+
+    BUCKETS = 64
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        self._fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._path(self.path))
+        self._jvm = spark.sparkContext._jvm
+        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._fs.mkdirs(self._path(f"{self.path}/manifests"))
 
     def _path(self, p: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        return self._jvm.org.apache.hadoop.fs.Path(p)
 
     def _versions(self) -> list[int]:
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
-        done = [n for n in names if n.startswith("v") and self._fs.exists(self._path(f"{self.path}/{n}/_SUCCESS"))]
-        return sorted(int(n[1:]) for n in done)
-
-    def read(self) -> DataFrame:
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.path}/manifests"))]
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def _manifest(self, version: int) -> dict[int, str]:
+        """Bucket -> the folder that holds it."""
+        stream = self._fs.open(self._path(f"{self.path}/manifests/{version}.json"))
+        try:
+            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return {int(k): v for k, v in json.loads(text).items()}
+
+    def _current(self) -> dict[int, str]:
         found = self._versions()
-        if not found:
+        return self._manifest(found[-1]) if found else {}
+
+    def _read(self, folders: dict[int, str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], FACTS)
-        return self.spark.read.schema(FACTS).parquet(f"{self.path}/v{found[-1]}")
+        return self.spark.read.schema(FACTS).parquet(*[f"{self.path}/{f}/bucket={k}" for k, f in sorted(folders.items())])
+
+    def read(self) -> DataFrame:
+        return self._read(self._current())
 
     def save(self, new: DataFrame, now: Column | None = None, keep_created: bool = True) -> None:
+        bucket = (F.crc32(F.col("doc_id")) % self.BUCKETS).cast("int")
+        now = F.current_timestamp() if now is None else now
         found = self._versions()
-        out = upsert(self.read(), new, F.current_timestamp() if now is None else now, keep_created)
-        out.select([c.split()[0] for c in _columns()]).write.mode("overwrite").parquet(f"{self.path}/v{(found or [0])[-1] + 1}")
+        before = self._manifest(found[-1]) if found else {}
+        touched = {r[0] for r in new.select(bucket.alias("b")).distinct().collect() if r[0] is not None}  # at most BUCKETS
+        if not touched:
+            return
+        out = upsert(self._read({k: f for k, f in before.items() if k in touched}), new.where("doc_id is not null"), now, keep_created)
+        folder = f"data-{uuid.uuid4().hex}"
+        out.select(_columns()).withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        after = before | dict.fromkeys(touched, folder)
+        version = (found or [0])[-1] + 1
+        draft = self._path(f"{self.path}/manifests/{version}.draft")
+        stream = self._fs.create(draft, True)
+        stream.write(json.dumps(after).encode())
+        stream.close()
+        if not self._fs.rename(draft, self._path(f"{self.path}/manifests/{version}.json")):
+            raise RuntimeError(f"version {version} of {self.path} was made by another writer")
         for v in found[:-1]:
-            self._fs.delete(self._path(f"{self.path}/v{v}"), True)
+            self._fs.delete(self._path(f"{self.path}/manifests/{v}.json"), False)
+        needed = {*after.values(), *before.values()}
+        for s in self._fs.listStatus(self._path(self.path)):
+            name = s.getPath().getName()
+            if name.startswith("data-") and name not in needed:
+                self._fs.delete(s.getPath(), True)
 
     def get(self, doc_id: str) -> dict | None:
-        rows = self.read().where(F.col("doc_id") == doc_id).limit(1).collect()
+        """One fact, from its bucket alone."""
+        k = zlib.crc32(doc_id.encode()) % self.BUCKETS
+        rows = self._read({b: f for b, f in self._current().items() if b == k}).where(F.col("doc_id") == doc_id).limit(1).collect()
         return rows[0].asDict(recursive=True) if rows else None
 
     def list(self) -> DataFrame:

@@ -195,6 +195,21 @@ def test_fact_store(spark, tmp_path):
     assert [r["doc_id"] for r in store.processed().collect()] == ["a"]
 
 
+def test_a_save_rewrites_the_buckets_it_touches(spark, tmp_path):
+    store = facts.FactStore(spark, f"file://{tmp_path}/facts")
+    row = lambda *ids: spark.createDataFrame([(i, "success") for i in ids], "doc_id string, status string")
+    store.save(row(*(f"d{k}" for k in range(200)), None))
+    reader = store.read()  # of the version before, which stays readable
+    first = store._current()
+    store.save(row("d7", "d7"))
+    second = store._current()
+    assert len(first) == store.BUCKETS - sum(k not in first for k in range(store.BUCKETS)) and sum(first[k] != second[k] for k in first) == 1
+    assert reader.count() == 200 and store.read().count() == 200 and store.get("d7")["status"] == "success"
+    store.save(row("new"))
+    store.save(row())
+    assert store.read().count() == 201 and store._versions() == [2, 3]
+
+
 def test_run_and_resume(spark, tmp_path):
     for name in ("000001甲公司关于", "000002乙"):
         (tmp_path / f"{name}.pdf").write_text("## 第一节 交易概述\nacquirer: A\ntarget: B\n\f## 二\n承诺 text")
