@@ -441,7 +441,9 @@ def remove_repeats(docs: DataFrame, length: int = 20) -> DataFrame:
     Other columns are not read. An empty table gives an empty table.
     """
     docs = docs.select("doc_id", "text")
-    # joined by a shuffle at every size: documents with repeats grow with the input
-    marked = docs.join(find_repeats(docs, length).hint("merge"), "doc_id", "left").select("doc_id", "text", "spans")
+    # joined by a shuffle at every size, as documents with repeats grow with the input; rows without doc_id would all meet there
+    repeats = find_repeats(docs, length)
+    marked = docs.where("doc_id is not null").join(repeats.hint("merge"), "doc_id", "left").select("doc_id", "text", "spans")
+    marked = marked.unionByName(docs.where("doc_id is null").withColumn("spans", F.lit(None).cast(repeats.schema["spans"].dataType)))
     out = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<start:long,end:long>>"
     return marked.mapInArrow(_keep, out)
