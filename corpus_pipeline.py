@@ -32,8 +32,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Null and empty texts are like nothing and stay, as do rows without doc_id; of repeated rows of a doc_id one stays.
     """
     gone = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    once = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    return once.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(once.where("doc_id is null"))
+    named = docs.where("doc_id is not null")  # rows without doc_id would all meet in one task of the join
+    once = named.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return once.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts hold nothing; rows without doc_id stay, as they cannot be told apart.
     """
     bad = leaks.find_leaks(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    clean = docs.where("doc_id is not null").join(bad, "doc_id", "left_anti").select(docs.columns)
+    return clean.unionByName(docs.where("doc_id is null"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
