@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from . import idcoder
 from .common import materialize
 
-BLOCK_IDS, MEMO = 1 << 21, 700_000
+BLOCK_IDS, MEMO, SLICE = 1 << 21, 700_000, 1 << 24
 # Fixed value: the pre-tokenizer's pattern under which texts may be encoded word by word. It keeps no white space, so no
 # token crosses it, takes a run of letters as one piece, and a run of other signs after it as another.
 _APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -168,7 +169,7 @@ class Encoder:
         return self._gather(at), np.diff(bounds[ends])
 
 
-def slices(texts: pa.Array, most: int = 1 << 24):
+def slices(texts: pa.Array, most: int = SLICE):
     """(from, to) of runs of texts of about so many bytes; a longer text is a run of its own."""
     size = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     group = np.cumsum(size) // most
@@ -189,11 +190,12 @@ def encoder(path: str, memo: int) -> Encoder:
 
 def forget_encoders() -> None:
     """Gives the memory of this process's encoders back; reading files does so, as nothing is written any more then."""
-    sys.modules.pop(_KEPT, None)
+    if sys.modules.pop(_KEPT, None):
+        gc.collect()
     pa.default_memory_pool().release_unused()
 
 
-def _encode(path: str, end_id: int, memo: int):
+def _encode(path: str, end_id: int, memo: int, slice_bytes: int):
     def run(batches):
         made = encoder(path, memo)
         part, block = TaskContext.get().partitionId(), 0
@@ -205,7 +207,7 @@ def _encode(path: str, end_id: int, memo: int):
 
         for batch in batches:
             texts = batch.column(batch.schema.names.index("text"))
-            for a, b in slices(texts):
+            for a, b in slices(texts, slice_bytes):
                 some = batch.column(0)[a:b].to_pylist()
                 x, n = made.encode(texts[a:b])
                 pa.default_memory_pool().release_unused()
@@ -228,15 +230,16 @@ def _encode(path: str, end_id: int, memo: int):
     return run
 
 
-def write_ids(docs: DataFrame, path: str, end_id: int = 2, order: tuple = ("doc_id",), memo: int = MEMO) -> DataFrame:
+def write_ids(docs: DataFrame, path: str, end_id: int = 2, order: tuple = ("doc_id",), memo: int = MEMO, slice_bytes: int = SLICE) -> DataFrame:
     """docs(doc_id, text, ...) -> the written files: (part, block, n_ids, frame), by (part, block) in the order of `order`.
 
     frame is a block that idcoder.decode_block reads by itself. Null texts are empty and have the end id alone; rows
     without doc_id come first in order of doc_id; rows that are equal in `order` stand together, in no fixed order. path: a tokenizer's file, the
-    same on all machines. memo: the words whose ids a worker process keeps, some 400 bytes each.
+    same on all machines. memo: the words whose ids a worker process keeps, some 400 bytes each; slice_bytes:
+    the text that it splits at once, which takes some ten times as much.
     """
     ordered = docs.select(*dict.fromkeys(["doc_id", "text", *order])).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    return materialize(ordered.mapInArrow(_encode(path, end_id, memo), "part long, block long, n_ids long, frame binary"))
+    return materialize(ordered.mapInArrow(_encode(path, end_id, memo, slice_bytes), "part long, block long, n_ids long, frame binary"))
 
 
 def _decode(batches):
