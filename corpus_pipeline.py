@@ -9,8 +9,9 @@ from factloom.llm.common import crc_mod, materialize, table
 from factloom.llm.queries import tokenizer_path
 
 
-#: Words whose ids a worker keeps; fewer than op6 does, as an executor of the pipeline holds what earlier stages left too.
-WORDS_KEPT = 200_000
+#: Words whose ids a worker keeps, and bytes of text that it splits at once: less than in op6, as an executor of the pipeline
+#: holds what earlier stages left too.
+WORDS_KEPT, SLICE = 200_000, 1 << 22
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +63,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, order: tuple
     A row for each row of docs: null and empty texts have the end id alone, rows without doc_id come first in order of
     doc_id, repeated rows stand together. Only doc_id, text and the order's columns are read.
     """
-    return tokenfile.read_ids(tokenfile.write_ids(docs, tokenizer_path(), order=order, memo=WORDS_KEPT))
+    return tokenfile.read_ids(tokenfile.write_ids(docs, tokenizer_path(), order=order, memo=WORDS_KEPT, slice_bytes=SLICE))
 
 
 STAGES = [
