@@ -17,9 +17,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from . import idcoder
-from .common import materialize
+from .common import materialize, mix
 
-BLOCK_IDS, MEMO, SLICE = 1 << 21, 700_000, 1 << 24
+BLOCK_IDS, MEMO, SLICE = 1 << 21, 2_000_000, 1 << 24
 # Fixed value: the pre-tokenizer's pattern under which texts may be encoded word by word. It keeps no white space, so no
 # token crosses it, takes a run of letters as one piece, and a run of other signs after it as another.
 _APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -41,102 +41,140 @@ def _plain(text: str) -> bool:
     return text.isascii() or (is_normalized("NFC", text) and "\u0130" not in text)
 
 
-class _Places(dict):
-    """word -> its place in `words`, which grows with each new word."""
+_rng = np.random.default_rng(20241107)
+#: Multipliers of a word's bytes by their place, for either hash; longer words are not kept.
+LONGEST = 64
+_MULTIPLIERS = [_rng.integers(0, 2**63, LONGEST, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2)]
 
-    def __init__(self):
-        super().__init__()
-        self.words: list[str] = []
 
-    def __missing__(self, word: str) -> int:
-        found = self[word] = len(self.words)
-        self.words.append(word)
-        return found
+def word_hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each string, and its length in bytes."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].astype(np.uint64) + np.uint64(1)
+    ends -= ends[0]
+    size = np.diff(ends)
+    place = np.minimum(np.arange(len(data)) - np.repeat(ends[:-1], size), LONGEST - 1)
+    out = []
+    for m in _MULTIPLIERS:
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(data * m[place], dtype=np.uint64)))
+        out.append(mix(sums[ends[1:]] - sums[ends[:-1]] + size.astype(np.uint64)))
+    return *out, size
 
 
 class Encoder:
     """Texts to ids by the tokenizer of a file; ids of words are kept, up to about `memo` of them, as one array with their places.
 
-    Where words_apart() does not hold, whole texts are encoded instead.
+    Words are found again by two hashes, 128 bits in all. Where words_apart() does not hold, whole texts are encoded instead.
     """
 
     def __init__(self, path: str, memo: int = MEMO):
         self.memo = memo
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.apart = words_apart(path)
         if self.apart:
-            # for runs of letters between single spaces the pattern and the replacement of white space change nothing
-            self.letters = Tokenizer.from_file(path)
-            self.letters.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
-            self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-            self.ends = np.zeros(self.vocabulary, bool)
-            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+            # runs of letters are one piece each; the byte-level alphabet, in order of bytes, is what the model reads
+            self.pieces = self.tokenizer.model.tokenize
+            self.level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-            self.number = _Places()
-            self.words = self.number.words
-            self.ids, self.used = np.empty(1 << 20, np.int32), 0
+            self.keys, self.checks, self.places = (np.empty(0, t) for t in (np.uint64, np.uint64, np.int64))
+            self.ids, self.used, self.n = np.empty(1 << 20, np.int32), 0, 0
             self.start, self.size = np.empty(1 << 18, np.int64), np.empty(1 << 18, np.int64)
 
     def forget(self) -> None:
         """Keeps the first half of the words, which hold the frequent ones."""
-        keep, old = self.memo // 2, self.words
-        self.number = _Places()
-        self.words = self.number.words
-        self.words += old[:keep]
-        self.number.update(zip(self.words, range(keep)))
+        keep = self.memo // 2
         self.ids = self._gather(np.arange(keep))
-        self.used = len(self.ids)
+        self.used, self.n = len(self.ids), keep
         self.start[:keep] = np.cumsum(self.size[:keep]) - self.size[:keep]
-
-    def _store(self, at: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        early = self.places < keep
+        self.keys, self.checks, self.places = self.keys[early], self.checks[early], self.places[early]
+
+    def _find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words' places, -1 for those that are not kept, and their hashes; a hash of 0 is never kept."""
+        h, check, size = word_hashes(words)
+        h[size > LONGEST] = 0
+        order = np.argsort(h)
+        at = np.empty(len(h), np.int64)
+        at[order] = np.searchsorted(self.keys, h[order])
+        at = np.minimum(at, len(self.keys) - 1)
+        if not len(self.keys):
+            return np.full(len(h), -1, np.int64), h, check
+        return np.where((self.keys[at] == h) & (self.checks[at] == check), self.places[at], -1), h, check
+
+    def _store(self, h: np.ndarray, check: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Keeps the ids of words that follow one another in `ids`; -> the words' places."""
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
-        while len(self.words) > len(self.start):
+        while self.n + len(sizes) > len(self.start):
             self.start, self.size = (np.concatenate((x, np.empty_like(x))) for x in (self.start, self.size))
+        place = np.arange(self.n, self.n + len(sizes))
         self.ids[self.used : self.used + len(ids)] = ids
-        self.start[at] = self.used + np.cumsum(sizes) - sizes
-        self.size[at] = sizes
-        self.used += len(ids)
-
-    def _exact(self, at: list[int]) -> None:
+        self.start[place] = self.used + np.cumsum(sizes) - sizes
+        self.size[place] = sizes
+        self.used, self.n = self.used + len(ids), self.n + len(sizes)
+        fresh = np.argsort(h)[int((h == 0).sum()) :]
+        at = np.searchsorted(self.keys, h[fresh])
+        if len(self.keys):  # of two words with one hash the first is kept; the other is found by none
+            alone = self.keys[np.minimum(at, len(self.keys) - 1)] != h[fresh]
+            fresh, at = fresh[alone], at[alone]
+        self.keys, self.checks, self.places = (np.insert(x, at, y[fresh]) for x, y in ((self.keys, h), (self.checks, check), (self.places, place)))
+        return place
+
+    def _whole(self, words: list[str]) -> list[list[int]]:
         """Words one by one, as texts of their own."""
-        if at:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast([self.words[k] for k in at], add_special_tokens=False)]
-            self._store(np.array(at), np.array([len(x) for x in ids]), np.array([i for x in ids for i in x], np.int32))
-
-    def _learn(self, first: int) -> None:
-        """Ids of all words from place `first` on; words of letters and signs are put together from both."""
-        whole = pa.array(self.words[first:], pa.string())
-        letters = pc.utf8_is_alpha(whole)
-        stems = pc.utf8_rtrim(whole, characters=_SIGNS)
-        special = pc.match_substring_regex(whole, "|".join(map(re.escape, self.special)) or r"\z\A")
-        mixed = pc.and_(pc.and_(pc.utf8_is_alpha(stems), pc.invert(letters)), pc.invert(special))
-        at, joined, other = np.nonzero(mixed.to_numpy(zero_copy_only=False))[0], [], []
-        for k, word, stem in zip(at.tolist(), whole.take(pa.array(at)).to_pylist(), stems.take(pa.array(at)).to_pylist()):
-            if _plain(stem):
-                joined.append((first + k, self.number[stem], self.number[word[len(stem) :]]))
-            else:
-                other.append(first + k)
-        if len(self.words) > first + len(whole):  # stems and signs that were no words yet
-            self._learn(first + len(whole))
-        for a in range(0, len(at := np.nonzero(letters.to_numpy(zero_copy_only=False))[0]), 1000):
-            some = at[a : a + 1000]
-            text = " ".join(whole.take(pa.array(some)).to_pylist())
-            ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
-            last = np.nonzero(self.ends[ids])[0]
-            if _plain(text) and len(last) == len(some) and last[-1] == len(ids) - 1:  # one piece, hence one end, for each word
-                self._store(first + some, np.diff(last, prepend=-1), ids)
-            else:
-                self._exact((first + some).tolist())
-        self._exact(other + (first + np.nonzero(pc.invert(pc.or_(letters, mixed)).to_numpy(zero_copy_only=False))[0]).tolist())
-        if joined:
-            at, x, y = (np.array(c) for c in zip(*joined))
-            both = np.column_stack((x, y)).ravel()
-            self._store(at, self.size[x] + self.size[y], self._gather(both))
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _ids(self, words: pa.Array, letters: np.ndarray) -> list[list[int]]:
+        """Ids of each word; runs of letters go to the model, in the byte-level alphabet."""
+        out: list = words.to_pylist()
+        ascii_ = pc.string_is_ascii(words).to_numpy(zero_copy_only=False)
+        pieces, rest = self.pieces, []
+        for k in np.nonzero(letters)[0].tolist():
+            word = out[k]
+            if not ascii_[k]:
+                if not _plain(word):
+                    rest.append(k)
+                    continue
+                word = self.level.pre_tokenize_str("".join(map(str.lower, word)))[0][0]  # each sign by itself, as the tokenizer does
+            out[k] = [t.id for t in pieces(word)]
+        rest += np.nonzero(~letters)[0].tolist()
+        for k, ids in zip(rest, self._whole([out[k] for k in rest])):
+            out[k] = ids
+        return out
+
+    def _learn(self, words: pa.Array, h: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Places of distinct words that are not kept; words of letters and signs are put together from both."""
+        letters = pc.utf8_is_alpha(words)
+        stems = pc.utf8_rtrim(words, characters=_SIGNS)
+        special = pc.match_substring_regex(words, "|".join(map(re.escape, self.special)) or r"\z\A")
+        plain = pc.and_(pc.utf8_is_alpha(stems), pc.and_(pc.invert(letters), pc.invert(special))).to_numpy(zero_copy_only=False)
+        mixed = np.nonzero(plain)[0]
+        ends = stems.take(pa.array(mixed)).to_pylist()
+        fine = np.array([_plain(x) for x in ends], bool)
+        ends, mixed = [x for x, ok in zip(ends, fine) if ok], mixed[fine]
+        rest = np.ones(len(words), bool)
+        rest[mixed] = False
+        simple = np.nonzero(rest)[0]
+        place = np.empty(len(words), np.int64)
+        ids = self._ids(words.take(pa.array(simple)), letters.to_numpy(zero_copy_only=False)[simple])
+        place[simple] = self._store(h[simple], check[simple], np.array([len(x) for x in ids], np.int64), np.array([i for x in ids for i in x], np.int32))
+        if len(mixed):
+            whole = words.take(pa.array(mixed)).to_pylist()
+            parts = pa.array([x for word, stem in zip(whole, ends) for x in (stem, word[len(stem) :])], pa.string()).dictionary_encode()
+            at = self._place(parts.dictionary)[parts.indices.to_numpy()]
+            place[mixed] = self._store(h[mixed], check[mixed], self.size[at[::2]] + self.size[at[1::2]], self._gather(at))
+        return place
+
+    def _place(self, words: pa.Array) -> np.ndarray:
+        place, h, check = self._find(words)
+        new = np.nonzero(place < 0)[0]
+        if len(new):
+            place[new] = self._learn(words.take(pa.array(new)), h[new], check[new])
+        return place
 
     def _gather(self, at: np.ndarray) -> np.ndarray:
         out, used = np.empty(int(self.size[at].sum()), np.int32), 0
@@ -154,17 +192,12 @@ class Encoder:
         if not self.apart:
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             return np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
-        if len(self.words) > self.memo:
+        if self.n > self.memo:
             self.forget()
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         ends = np.cumsum(np.concatenate(([0], pc.list_value_length(split).to_numpy())))
         coded = split.flatten().dictionary_encode()
-        first = len(self.words)
-        distinct = coded.dictionary.to_pylist()
-        place = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
-        if len(self.words) > first:
-            self._learn(first)
-        at = place[coded.indices.to_numpy()]
+        at = self._place(coded.dictionary)[coded.indices.to_numpy()]
         bounds = np.concatenate(([0], np.cumsum(self.size[at])))
         return self._gather(at), np.diff(bounds[ends])
 
@@ -235,7 +268,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int = 2, order: tuple = ("doc_
 
     frame is a block that idcoder.decode_block reads by itself. Null texts are empty and have the end id alone; rows
     without doc_id come first in order of doc_id; rows that are equal in `order` stand together, in no fixed order. path: a tokenizer's file, the
-    same on all machines. memo: the words whose ids a worker process keeps, some 400 bytes each; slice_bytes:
+    same on all machines. memo: the words whose ids a worker process keeps, some 60 bytes each; slice_bytes:
     the text that it splits at once, which takes some ten times as much.
     """
     ordered = docs.select(*dict.fromkeys(["doc_id", "text", *order])).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
