@@ -31,11 +31,18 @@ def words_apart(path: str) -> bool:
     with open(path, encoding="utf-8") as f:
         made = json.load(f)
     steps = [n.get("type") for n in (made.get("normalizer") or {}).get("normalizers", [])]
-    cut = ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    cut, level = [*((made.get("pre_tokenizer") or {}).get("pretokenizers") or []), {}, {}][:2]
     fine = cut.get("type") == "Split" and (cut.get("pattern") or {}).get("Regex") == _APART and cut.get("behavior") == "Removed" and cut.get("invert")
+    fine = fine and level.get("type") == "ByteLevel" and not level.get("add_prefix_space") and made["model"].get("type") == "BPE"
     return bool(fine) and steps == ["NFC", "Replace", "Lowercase"] and made["model"].get("end_of_word_suffix") == "</w>" and not any(" " in t["content"] for t in made["added_tokens"])
 
 
+# The byte-level alphabet. Printable bytes are themselves, the others follow from 256 in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_ALPHABET = dict(zip((b for b in range(256) if b not in _PRINTABLE), range(256, 512)))
+del _ALPHABET[32]  # the space that parts words here
+
+
 def _plain(text: str) -> bool:
     """Whether letters stay letters: composed, and without the one letter whose lower case has a mark."""
     return text.isascii() or (is_normalized("NFC", text) and "\u0130" not in text)
@@ -70,7 +77,7 @@ class Encoder:
     def __init__(self, path: str, memo: int = MEMO):
         self.memo = memo
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
@@ -78,7 +85,6 @@ class Encoder:
         if self.apart:
             # runs of letters are one piece each; the byte-level alphabet, in order of bytes, is what the model reads
             self.pieces = self.tokenizer.model.tokenize
-            self.level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
             self.keys, self.checks, self.places = (np.empty(0, t) for t in (np.uint64, np.uint64, np.int64))
             self.ids, self.used, self.n = np.empty(1 << 20, np.int32), 0, 0
@@ -131,16 +137,21 @@ class Encoder:
     def _ids(self, words: pa.Array, letters: np.ndarray) -> list[list[int]]:
         """Ids of each word; runs of letters go to the model, in the byte-level alphabet."""
         out: list = words.to_pylist()
-        ascii_ = pc.string_is_ascii(words).to_numpy(zero_copy_only=False)
-        pieces, rest = self.pieces, []
-        for k in np.nonzero(letters)[0].tolist():
-            word = out[k]
-            if not ascii_[k]:
-                if not _plain(word):
-                    rest.append(k)
-                    continue
-                word = self.level.pre_tokenize_str("".join(map(str.lower, word)))[0][0]  # each sign by itself, as the tokenizer does
-            out[k] = [t.id for t in pieces(word)]
+        spelled, rest = out.copy(), []
+        marked = np.nonzero(letters & ~pc.string_is_ascii(words).to_numpy(zero_copy_only=False))[0].tolist()
+        if marked:  # in lower case each sign by itself, as the tokenizer does, then bytes as letters
+            lower = " ".join(["".join(map(str.lower, out[k])) for k in marked])
+            for k, word in zip(marked, lower.encode().decode("latin-1").translate(_ALPHABET).split(" ")):
+                spelled[k] = word
+            rest = [k for k in marked if not _plain(out[k])]
+        pieces, plain = self.pieces, letters.copy()
+        plain[rest] = False
+        gc.disable()  # a million small objects come and go here, in no cycles
+        try:
+            for k in np.nonzero(plain)[0].tolist():
+                out[k] = [t.id for t in pieces(spelled[k])]
+        finally:
+            gc.enable()
         rest += np.nonzero(~letters)[0].tolist()
         for k, ids in zip(rest, self._whole([out[k] for k in rest])):
             out[k] = ids
