@@ -392,9 +392,10 @@ def test_chat_client():
 
     server = HTTPServer(("127.0.0.1", 0), Answer)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    client = models.ChatClient(f"http://127.0.0.1:{server.server_port}/v1/", "key", "m", (0.1, 100), (0.7, 20))
+    client = models.ChatClient(f"http://127.0.0.1:{server.server_port}/v1/", "key", "m", (0.1, 100), (0.7, 20), timeout=5)
     assert extract.chat_json(client, "s", "u") == '{"target": "x"}' and extract.chat_text(client, "s", "u")
     server.shutdown()
+    server.server_close()
     (path, auth, first), (_, _, second) = seen
     assert (path, auth) == ("/v1/chat/completions", "Bearer key")
     assert (first["temperature"], first["max_tokens"], first["response_format"]) == (0.1, 100, {"type": "json_object"})
