@@ -336,6 +336,20 @@ def test_ids_are_those_of_the_tokenizer(name):
     assert n.tolist() == [len(w) for w in want] and x.tolist() == [i for w in want for i in w]
 
 
+def test_a_full_memory_changes_no_ids():
+    """Words are forgotten and met again; hashes of two words that are the same find the first alone."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(12)
+    texts = [" ".join("".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 5))) + rng.choice(["", ".", "!?", "'s"]) for _ in range(200)) for _ in range(60)]
+    small, large = tokenfile.Encoder(path, 300), tokenfile.Encoder(path)
+    for text in texts + texts:
+        a, b = small.encode(tokenfile.pa.array([text])), large.encode(tokenfile.pa.array([text]))
+        assert a[0].tolist() == b[0].tolist() == large.tokenizer.encode(text, add_special_tokens=False).ids and a[1].tolist() == b[1].tolist()
+    assert small.n < large.n and len(large.keys) == large.n
+
+
 MIT = """MIT License
 
 Copyright (c) 2020 Somebody
