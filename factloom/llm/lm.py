@@ -6,18 +6,19 @@ tables; its base measure is uniform over the training words and one unknown toke
 
 Seatings are sampled by Gibbs steps: a customer drawn at random leaves, its table closes if it was alone, and it sits
 down again at a table of its dish (weight: others there less the discount) or a new one (weight: concentration plus
-discount times the restaurant's tables, times the parent's probability). A sweep takes STEPS customers of each
-dish (all of them where there are fewer); all dishes move side by side, on the other dishes' tables as they were after the
-sweep before, and are told the new totals after it. The first KEEP_FROM samples are burn-in; predictive probabilities of
-the later ones are averaged. A pair seen once has one table always and needs no sampling.
+discount times the restaurant's tables, times the parent's probability). A sweep takes every customer of each
+dish once; all dishes move side by side, on the other dishes' tables as they were after the sweep before, and are told
+the new totals after it. The first KEEP_FROM samples are burn-in; predictive probabilities of the later ones are
+averaged. A pair seen once has one table always and needs no sampling.
 
 Hyper-parameters: concentrations are THETA; discounts are n1 / (n1 + 2 n2) of the counts of counts, of pairs and of the
 first parent customers. Words are told apart by 64-bit hashes.
 
 All counts and seatings are Spark tables that grow with the corpus. Documents are read once, into pieces of about
 PIECE tokens; a piece asks for each distinct word and pair once, so a word of every text costs a row's share for each
-piece, and parts of words and of pairs are dealt out by hash: none grows with one word's frequency. Rows hold packed
-arrays (sorted numbers, byte planes, zstd), as rows of single numbers would take several times the space.
+piece, and parts of words and of pairs are dealt out by hash: none grows with one word's frequency. A sweep does take
+time and memory for each customer of a dish, who move one after the other. Rows hold packed arrays (sorted numbers, byte
+planes, zstd), as rows of single numbers would take several times the space.
 """
 
 from __future__ import annotations
@@ -31,10 +32,12 @@ from pyspark.sql import DataFrame, functions as F
 from .common import binary_column, crc_mod, materialize, mix, release
 from .packed import by_part, column, dealt, framed, only, pack, pack_pairs, pack_sorted, rows_table, unframed, unpack, unpack_pairs, unpack_sorted
 
-SAMPLES, KEEP_FROM, STEPS, THETA = 3, 2, 6, 1.0
+SAMPLES, KEEP_FROM, THETA = 3, 2, 1.0
 PIECE = 1_600_000
 #: Parts of words and pairs; None: one for each PIECE tokens.
 PARTS = None
+#: Dishes for which a step at once takes as long as for one after the other.
+AT_ONCE = 64
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _32 = np.uint64(32)
 #: The hash of the end token, which is the empty word.
@@ -93,62 +96,125 @@ def resize(sizes: np.ndarray, t: np.ndarray, old: np.ndarray, new: np.ndarray) -
     return sizes[order], np.bincount(owner, minlength=len(t))
 
 
-def gibbs(sizes: np.ndarray, t: np.ndarray, c: np.ndarray, fixed: np.ndarray, slope: np.ndarray, d: float, hashes: np.ndarray, salt: int, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
-    """min(c, steps) customers of each dish leave and sit down again, one after the other.
+def gibbs(sizes: np.ndarray, t: np.ndarray, c: np.ndarray, fixed: np.ndarray, slope: np.ndarray, d: float, hashes: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every customer of each dish leaves once and sits down again, one after the other, in a random order.
 
     sizes: the tables, dish after dish; t: tables, c: customers of each dish. A new table weighs fixed + slope * (the
     dish's tables without the customer). -> new sizes (without empty tables) and t.
     """
-    n_steps = np.minimum(c, steps)
-    n_steps[c < 2] = 0
-    by_steps = np.argsort(-n_steps, kind="stable")
-    active = by_steps[: int((n_steps > 0).sum())]
-    room = t[active] + steps  # every step may open one table in a slot of its own
-    start = np.cumsum(room) - room
-    flat = np.zeros(int(room.sum()), np.int64)
-    rank = np.arange(int(t[active].sum())) - np.repeat(np.cumsum(t[active]) - t[active], t[active])
     source = np.cumsum(t) - t
-    flat[np.repeat(start, t[active]) + rank] = sizes[np.repeat(source[active], t[active]) + rank]
-    used, now, cust = t[active].copy(), t[active].astype(np.float64), c[active]
-    h, fix, up = hashes[active], fixed[active], slope[active]
-    counts = n_steps[active]
-    for step in range(steps):
-        n = int(np.searchsorted(-counts, -step, "left"))  # dishes with more than `step` steps
-        if not n:
-            break
-
-        def uniform(tag, rows, step=step):
-            s = np.uint64(((salt * 64 + step) * 4096 + tag) * 0x9E3779B97F4A7C15 % 2**64)
-            return (mix(h[rows] + s) >> np.uint64(11)).astype(np.float64) / 2.0**53
-
-        rows = np.arange(n)
-        cs = np.cumsum(flat[: start[n - 1] + room[n - 1]])
-        before = np.where(start[:n] > 0, cs[start[:n] - 1], 0)
-        who = np.minimum((uniform(0, rows) * cust[:n]).astype(np.int64), cust[:n] - 1)
-        at = np.searchsorted(cs, before + who, "right")
-        flat[at] -= 1
-        now[:n] -= flat[at] == 0
-        stay, gain = cust[:n] - 1 - d * now[:n], fix[:n] + up[:n] * now[:n]
-        new = uniform(1, rows) * (stay + gain) < gain
-        opened = rows[new]
-        flat[start[opened] + used[opened]] += 1
-        used[opened] += 1
-        now[opened] += 1
-        left, tag = rows[~new], 2
-        while len(left):  # a table by its other customers, kept with (size - discount) / size
-            other = np.minimum((uniform(tag, left) * (cust[left] - 1)).astype(np.int64), cust[left] - 2)
-            other += other >= who[left]
-            place = np.searchsorted(cs, before[left] + other, "right")
-            fine = uniform(tag + 1, left) * flat[place] < flat[place] - d
-            flat[place[fine]] += 1
-            left, tag = left[~fine], tag + 2
+    active = np.argsort(-c, kind="stable")[: np.count_nonzero(c > 1)]
+    # the most frequent dishes go one by one, as steps for a few dishes at once cost more
+    alone = int(np.argmin(np.concatenate(([0], np.cumsum(c[active]))) + AT_ONCE * np.append(c[active], 0)))
     idle = np.ones(len(t), bool)
     idle[active] = False
-    every = np.concatenate((flat, sizes[np.repeat(idle, t)]))
-    owner = np.concatenate((np.repeat(active, room), np.repeat(np.arange(len(t))[idle], t[idle])))
-    order = np.argsort(owner, kind="stable")
-    owner, every = owner[order], every[order]
-    return every[every > 0], np.bincount(owner[every > 0], minlength=len(t))
+    every, owner = [sizes[np.repeat(idle, t)]], [np.repeat(np.nonzero(idle)[0], t[idle])]
+    for k in active[:alone].tolist():
+        every.append(_move_alone(sizes[source[k] : source[k] + t[k]], float(fixed[k]), float(slope[k]), d, int(hashes[k]), salt))
+        owner.append(np.full(len(every[-1]), k))
+    active = active[alone:]
+    moved, room = _move_together(sizes, t[active], source[active], c[active], fixed[active], slope[active], d, hashes[active], salt)
+    every.append(moved[moved > 0])
+    owner.append(np.repeat(active, room)[moved > 0])
+    every, owner = np.concatenate(every), np.concatenate(owner)
+    return every[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(t))
+
+
+def _move_together(sizes: np.ndarray, t: np.ndarray, source: np.ndarray, c: np.ndarray, fixed: np.ndarray, slope: np.ndarray, d: float, h: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """A sweep of dishes in order of falling c, a customer of each at a step. -> sizes in t + c slots a dish, slots."""
+    room = t + c  # every step may open one table in a slot of its own
+    start, first = np.cumsum(room) - room, np.cumsum(c) - c
+    rank = np.arange(int(t.sum())) - np.repeat(np.cumsum(t) - t, t)
+    flat = np.zeros(int(room.sum()), np.int64)
+    slots = np.repeat(start, t) + rank
+    flat[slots] = sizes[np.repeat(source, t) + rank]
+    seat = np.repeat(slots, flat[slots])  # the table of each customer
+    used, now = t.copy(), t.astype(np.float64)
+    rng = np.random.Generator(np.random.PCG64([salt, *h[:1].tolist()]))
+    others = c - 1
+    dishes = len(c) - np.searchsorted(c[::-1], np.arange(c.max(initial=0)), "right")  # those with more than `step` customers
+    for step, n in enumerate(dishes.tolist()):
+        begin, rest, tables = first[:n], others[:n], now[:n]
+        pick, new, at = rng.random((3, n))
+        # one of those who have not moved yet leaves; its seat is the step's place from here on
+        place = begin + step
+        pick = place + (pick * (rest + (1 - step))).astype(np.int64)
+        table = seat[pick]
+        seat[pick] = seat[place]
+        size = flat[table] - 1
+        flat[table] = size
+        tables -= size == 0
+        gain = fixed[:n] + slope[:n] * tables
+        new = new * (rest - d * tables + gain) < gain
+        # a table by its other customers, kept with (size - discount) / size
+        at *= rest
+        other = at.astype(np.int64)
+        table = seat[begin + other + (other >= step)]
+        size = flat[table]
+        left = np.nonzero(~(((at - other) * size < size - d) | (tables == 1) | new))[0]
+        while len(left):
+            at = rng.random(len(left)) * rest[left]
+            other = at.astype(np.int64)
+            found = seat[begin[left] + other + (other >= step)]
+            fine = (at - other) * flat[found] < flat[found] - d
+            table[left[fine]] = found[fine]
+            left = left[~fine]
+        opened = np.nonzero(new)[0]
+        table[opened] = start[opened] + used[opened]
+        used[opened] += 1
+        tables[opened] += 1
+        flat[table] += 1
+        seat[place] = table
+    return flat, room
+
+
+def _move_alone(sizes: np.ndarray, fixed: float, slope: float, d: float, h: int, salt: int) -> np.ndarray:
+    """A sweep of one dish. Takes 4 bytes a customer, whatever their number."""
+    rng = np.random.Generator(np.random.PCG64([h, salt]))
+    seat = memoryview(np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes))
+    now, c, sizes, free = len(sizes), len(seat), sizes.tolist(), []
+
+    def chance(now):  # of a new table, with `now` of the others
+        gain = fixed + slope * now
+        return gain / (max(c - 1 - d * now, 0.0) + gain)
+
+    same, fewer = chance(now), chance(now - 1)
+    for done in range(0, c, 1 << 14):
+        steps = np.arange(done, min(c, done + (1 << 14)))
+        pick, new, at = rng.random((3, len(steps)))
+        pick = steps + (pick * (c - steps)).astype(np.int64)
+        other = (at * (c - 1)).astype(np.int64)
+        at = at * (c - 1) - other
+        other += other >= steps
+        for i, j, u, o, v in zip(steps.tolist(), pick.tolist(), new.tolist(), other.tolist(), at.tolist()):
+            k = seat[j]
+            seat[j] = seat[i]
+            size = sizes[k] = sizes[k] - 1
+            if u < (same if size else fewer):
+                if size:
+                    now += 1
+                    fewer, same = same, chance(now)
+                    if free:
+                        k = free.pop()
+                    else:
+                        k = len(sizes)
+                        sizes.append(0)
+                sizes[k] = 1
+                seat[i] = k
+                continue
+            if not size:
+                free.append(k)
+                now -= 1
+                fewer, same = chance(now - 1), fewer
+            k = seat[o]
+            size = sizes[k]
+            while now > 1 and v * size >= size - d:
+                o, v = int(rng.integers(c - 1)), rng.random()
+                k = seat[o + (o >= i)]
+                size = sizes[k]
+            sizes[k] = size + 1
+            seat[i] = k
+    return np.array([x for x in sizes if x], np.int64)
 
 
 def discount(n1: float, n2: float) -> float:

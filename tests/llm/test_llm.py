@@ -471,6 +471,45 @@ def test_gibbs_steps_sample_the_restaurant(c, fixed, slope, d):
     assert np.abs(got - want).max() < 0.02, (got, want)
 
 
+@pytest.mark.parametrize("at_once", [0, 64, 10**12])
+def test_a_sweep_moves_every_customer(monkeypatch, at_once):
+    """With a new table next to certain, every customer that leaves opens one; those who stay would be seen at the old one."""
+    monkeypatch.setattr(lm, "AT_ONCE", at_once)  # 0: all dishes side by side; the most: one by one
+    c = np.array([1, 300, 2, 7, 0, 1000, 40])
+    t = np.minimum(c, 1)
+    hashes = lm.mix(np.arange(len(c), dtype=np.uint64))
+    sizes, t = lm.gibbs(c[c > 0], t, c, np.full(len(c), 1e15), np.zeros(len(c)), 0.5, hashes, 1)
+    assert t.tolist() == c.tolist() and set(sizes.tolist()) == {1}
+    for sweep in range(2, 40):  # and with one next to impossible those of small dishes meet at one
+        sizes, t = lm.gibbs(sizes, t, c, np.full(len(c), 1e-15), np.zeros(len(c)), 0.0, hashes, sweep)
+        assert np.add.reduceat(sizes, np.cumsum(t)[c > 0] - t[c > 0]).tolist() == c[c > 0].tolist() and sizes.min() > 0
+    assert t[c < 10].tolist() == [1, 1, 1, 0]
+
+
+@pytest.mark.parametrize("at_once", [0, 10**12])
+@pytest.mark.parametrize("c, fixed, slope, d", [(30, 1.0, 0.2, 0.5), (40, 2.0, 0.4, 0.8)])
+def test_frequent_dishes_reach_the_exact_distribution(monkeypatch, at_once, c, fixed, slope, d):
+    """As above, with more customers than few steps could move, and from one table and from as many as customers."""
+    monkeypatch.setattr(lm, "AT_ONCE", at_once)
+    ways = {1: 1.0}
+    for n in range(1, c):
+        nxt = Counter()
+        for t, x in ways.items():
+            nxt[t] += x * (n - d * t)
+            nxt[t + 1] += x
+        ways = nxt
+    want = np.array([ways[t] * math.prod(fixed + slope * k for k in range(t)) for t in range(1, c + 1)])
+    want /= want.sum()
+    n = 4000
+    t = np.where(np.arange(n) % 2, c, 1)
+    sizes = np.repeat(c // t, t)
+    hashes = lm.mix(np.arange(n, dtype=np.uint64) + np.uint64(7))
+    for sweep in range(25):
+        sizes, t = lm.gibbs(sizes, t, np.full(n, c), np.full(n, fixed), np.full(n, slope), d, hashes, sweep)
+    got = np.bincount(t, minlength=c + 1)[1:] / n
+    assert np.abs(got - want).max() < 0.025, (got, want)
+
+
 def test_a_plain_gibbs_sampler_agrees(spark):
     """Held-out log-probabilities of a tiny corpus against a plain sampler, customer by customer, of the same model."""
     rng = random.Random(8)
