@@ -27,13 +27,32 @@ class Extractor(Protocol):
     def complete_text(self, system: str, user: str) -> str: ...
 
 
+#: What format_context puts before a passage.
+HEAD = re.compile(r"(?m)(?:\n\n---\n\n)?^\[page -?\d+ \| section .*\]\n")
+
+
+def stated(field: str, passages: list[str]) -> str:
+    """The value in the first passage that has one; where it ends that passage, as the one that overlaps it most goes on."""
+    line = re.compile(rf"(?m)^\s*{field}[^\S\n]*[:：][^\S\n]*(\S.*)$")
+    found = [(p, m) for p in passages if (m := line.search(p))]
+    if not found:
+        return ""
+    first, at = found[0]
+    value = at.group(1).strip()
+    more = [m for p, m in found[1:] if at.end() == len(first) and first.endswith(p[: m.start(1) + len(value)])]
+    return max(more, key=lambda m: m.start(1)).group(1).strip() if more else value
+
+
 class RuleExtractor:
-    """Deterministic and offline: a field's value is what follows `field:` on a line of the context."""
+    """Deterministic and offline: a field's value is what follows `field:` on a line of a passage.
+
+    A passage may end inside that line; the next one, where it was found too, has the whole value.
+    """
 
     def complete_json(self, system: str, user: str) -> str:
-        wanted = [f.strip() for f in user.split("\n", 1)[0].removeprefix("fields:").split(",")]
-        found = {f: re.search(rf"(?m)^\s*{f}\s*[:：]\s*(.+)$", user.split("\n", 1)[1]) for f in wanted}
-        return json.dumps({f: m.group(1).strip() if m else "" for f, m in found.items()}, ensure_ascii=False)
+        named, context = user.split("\n", 1)
+        passages = [p.rstrip() for p in HEAD.split(context)]
+        return json.dumps({f.strip(): stated(f.strip(), passages) for f in named.removeprefix("fields:").split(",")}, ensure_ascii=False)
 
     def complete_text(self, system: str, user: str) -> str:
         return user

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from factloom import cli, shared
 from factloom.config import Settings
-from factloom.functions.text import company_name, doc_id, stock_code
+from factloom.functions.text import company_name, doc_id, format_context, stock_code
 from factloom.operators import chunking, extract, facts, records, sections, vector
 from factloom.plans import pipeline
 from factloom.schemas import ABOUT, CHUNK, DEAL_FIELDS, GROUPS, PAGE
@@ -170,6 +170,15 @@ def test_a_missing_field_is_filled_in_round_two(spark, tmp_path):
     assert sorted((tmp_path / "calls").read_text().split()) == ["j", "j", "j", "t"]
 
 
+@pytest.mark.parametrize("cut", ["deal_type:", "deal_type: c", "deal_type: cash an", "deal_type: cash and", "deal_type: cash and shares"])
+def test_rules_take_whole_values_of_cut_passages(spark, cut):
+    texts = [f"so much\nacquirer:\ntarget: B\n{cut}", "target: B\ndeal_type: cash and shares\nacquirer: A", "deal_type: cash and shares, but of another"]
+    hits = spark.createDataFrame([([(n, "user", t) for n, t in enumerate(texts)],)], "hits array<struct<page:int,section:string,text:string>>")
+    prompt = extract.prompt(F.array(*map(F.lit, DEAL_FIELDS)), format_context(F.col("hits")))
+    got = json.loads(extract.RuleExtractor().complete_json("", hits.select(prompt.alias("p")).first()["p"]))
+    assert {f: v for f, v in got.items() if v} == {"acquirer": "A", "target": "B", "deal_type": "cash and shares"}
+
+
 def test_retries(monkeypatch):
     class Bad:
         calls = 0
