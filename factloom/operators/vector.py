@@ -7,7 +7,9 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 class Embedder(Protocol):
@@ -100,12 +102,127 @@ def search_sections_text(index: DataFrame, embedder: Embedder, text: str, keywor
 
 
 def batch_search(index: DataFrame, queries: DataFrame, k: int, on: list[str], by: list[str]) -> DataFrame:
-    """queries(*by, query, ...) against chunks with equal `on` columns: the k best of each query, with score and rank."""
-    pairs = index.join(queries, on).withColumn("score", dot(F.col("embedding"), F.col("query"))).drop("embedding", "query")
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), "doc_id", "chunk_id"))
+    """queries(*by, query, ...) against chunks with equal `on` columns: the k best of each query, with score and rank.
+
+    Without `on` every query meets every chunk; pairs are made in blocks then, and each gives its k best alone.
+    """
+    if on:
+        pairs = index.join(queries, on).withColumn("score", dot(F.col("embedding"), F.col("query"))).drop("embedding", "query")
+    else:
+        pairs = _best_by_block(index, queries, k, by)
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), F.asc_nulls_last("chunk_id")))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+#: Chunks and queries of a block, about; scores held at once; columns among which a maximum is taken first.
+CHUNKS, QUERIES, CELLS, RUN = 32_768, 4_096, 4_194_304, 64
+
+
+def _best_by_block(index: DataFrame, queries: DataFrame, k: int, by: list[str]) -> DataFrame:
+    """Chunks and queries are dealt into blocks by hash, every block of chunks meets every block of queries."""
+    pieces, blocks = (max(1, -(-df.count() // most)) for df, most in ((index, CHUNKS), (queries, QUERIES)))
+    deal = lambda n, *of: F.pmod(F.xxhash64(*of), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = queries.withColumn("_block", deal(blocks, *by, "query")).withColumn("_piece", every(pieces))
+    right = index.withColumn("_piece", deal(pieces, "doc_id", "chunk_id", "embedding")).withColumn("_block", every(blocks))
+    of_index, of_queries = ([f for f in df.schema.fields if f.name != name] for df, name in ((index, "embedding"), (queries, "query")))
+
+    def search(asked: pa.Table, chunks: pa.Table) -> pa.Table:
+        chunks = chunks.take(pc.sort_indices(chunks, [("doc_id", "ascending"), ("chunk_id", "ascending")], null_placement="at_end"))
+        at, score, known = best(asked["query"].combine_chunks(), chunks["embedding"].combine_chunks(), k)
+        row = pa.array(np.repeat(np.arange(len(at)), at.shape[1]))
+        columns = {f.name: chunks[f.name].take(pa.array(at.ravel())) for f in of_index} | {f.name: asked[f.name].take(row) for f in of_queries}
+        return pa.table(columns | {"score": pa.array(score.ravel(), pa.float64(), mask=~known.ravel())})
+
+    schema = T.StructType([*of_index, *of_queries, T.StructField("score", T.DoubleType())])
+    return left.groupBy("_piece", "_block").cogroup(right.groupBy("_piece", "_block")).applyInArrow(search, schema)
+
+
+def _lengths(vectors: pa.Array) -> np.ndarray:
+    """The length of each vector, -1 for one that is null or holds a null."""
+    n = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False).copy()
+    if pc.list_flatten(vectors).null_count:
+        n[pc.list_parent_indices(vectors).filter(pc.is_null(pc.list_flatten(vectors))).to_numpy()] = -1
+    return n
+
+
+def best(queries: pa.Array, chunks: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each query the positions of its k best chunks (all, if fewer), their inner products, and which of these are known.
+
+    The order is that of dot() in Spark: NaN first, unknown last (a vector that is null or holds a null, lengths that
+    differ), ties to earlier chunks.
+    """
+    of_query, of_chunk, m = _lengths(queries), _lengths(chunks), min(k, len(chunks))
+    at, score, known = np.tile(np.arange(m), (len(queries), 1)), np.zeros((len(queries), m)), np.zeros((len(queries), m), bool)
+    for dim in np.unique(of_query[of_query >= 0]) if m else ():
+        q, c = np.flatnonzero(of_query == dim), np.flatnonzero(of_chunk == dim)
+        rest = np.flatnonzero(of_chunk != dim)
+        matrix = lambda v, rows: pc.list_flatten(v.take(pa.array(rows))).to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)
+        t = min(m, len(c))
+        if t:
+            top, score[q, :t] = _top(matrix(queries, q), matrix(chunks, c), t)
+            at[q, :t], known[q, :t] = c[top], True
+        at[q, t:] = rest[: m - t]
+    return at, score, known
+
+
+def _same(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first row of each group of equal rows, and each row's group."""
+    if not x.shape[1]:
+        return np.zeros(1, np.int64), np.zeros(len(x), np.int64)
+    _, first, group = np.unique(np.ascontiguousarray(x).view(f"V{x.shape[1] * x.itemsize}").ravel(), return_index=True, return_inverse=True)
+    return first, group.ravel()
+
+
+def _top(queries: np.ndarray, chunks: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and inner products of the k best of at least k chunks, each sum taken in order, as dot() does.
+
+    Matrix products come first; all that their rounding leaves in question is summed again. Equal queries are one, and of
+    equal chunks the first k are enough.
+    """
+    first, group = _same(queries)
+    q = queries[first]
+    same = _same(chunks)[1]
+    order = np.argsort(same, kind="stable")
+    run = np.r_[0, np.flatnonzero(np.diff(same[order])) + 1]
+    copy = np.arange(len(order)) - np.repeat(run, np.diff(np.r_[run, len(order)]))
+    kept = np.sort(order[copy < k])
+    c = chunks[kept]
+    with np.errstate(all="ignore"):
+        norms = [np.sqrt((x * x).sum(1)) for x in (q, c)]
+        fine_q, fine_c = map(np.isfinite, norms)
+        wild = np.flatnonzero(~fine_c)
+        groups = -(-len(c) // RUN)
+        short = np.zeros((groups * RUN, c.shape[1]))
+        short[: len(c)][fine_c] = c[fine_c]
+        usable = np.r_[fine_c, np.zeros(len(short) - len(c), bool)]
+        slack = 4 * (c.shape[1] + 2) * np.finfo(float).eps * norms[0] * np.max(norms[1], where=fine_c, initial=0) + 1e-300
+        q_t, c_t = np.ascontiguousarray(q.T), np.ascontiguousarray(c.T)
+        at, score = np.empty((len(q), k), np.int64), np.empty((len(q), k))
+        step = max(1, CELLS // len(short))
+        for a in range(0, len(q), step):
+            fine = fine_q[a : a + step]
+            near = np.where(fine[:, None], q[a : a + step], 0) @ short.T
+            near[:, ~usable] = -np.inf
+            near = near.reshape(len(fine), RUN, groups)  # column r * groups + g is in run g
+            most = near.max(1)
+            least = np.partition(most, groups - k, axis=1)[:, groups - k] - slack[a : a + step] if groups >= k else np.full(len(fine), -np.inf)
+            least = np.where(fine, least, -np.inf)
+            i, g = np.nonzero(most >= least[:, None])
+            p, r = np.nonzero(near[i, :, g] >= least[i, None])
+            i, j = i[p], r * groups + g[p]
+            i, j = i[usable[j]], j[usable[j]]
+            i, j = np.r_[i, np.repeat(np.arange(len(fine)), len(wild))], np.r_[j, np.tile(wild, len(fine))]
+            exact = np.zeros(len(i))
+            for x, y in zip(q_t[:, a : a + step], c_t):
+                exact += x[i] * y[j]
+            nan = np.isnan(exact)
+            o = np.lexsort((j, np.where(nan, 0, -exact), ~nan, i))
+            o = o[np.searchsorted(i[o], np.arange(len(fine)))[:, None] + np.arange(k)]
+            at[a : a + step], score[a : a + step] = kept[j[o]], exact[o]
+    return at[group], score[group]
+
+
 def indexed_docs(index: DataFrame) -> DataFrame:
     return index.select("doc_id").distinct()
 
@@ -119,5 +236,6 @@ def dedup_hits(hits: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     seq = F.struct(*order)
     rest = [c for c in hits.columns if c not in {*by, "doc_id", "chunk_id"}]
     keys = list(dict.fromkeys([*by, "doc_id", "chunk_id"]))
-    best = F.min_by(F.struct(*rest), F.struct((-F.col("score")).alias("s"), seq.alias("q")))
+    score = F.col("score")
+    best = F.min_by(F.struct(*rest), F.struct(score.isNull().alias("n"), (~F.isnan(score)).alias("f"), (-score).alias("s"), seq.alias("q")))
     return hits.groupBy(*keys).agg(best.alias("best"), F.min(seq).alias("first_seen")).select(*keys, "best.*", "first_seen")

@@ -80,8 +80,8 @@ def vector_topk_section(spark, sf_dir):
     SELECT doc_id, chunk_id, round(score, 6) + 0.0 AS score FROM d""")
 def vector_multi_query_dedup(spark, sf_dir):
     """The four best of every query, joined, each chunk once with its best score."""
-    asked = _table(spark, sf_dir, "embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), F.lit(1).alias("one"))
-    hits = vector.batch_search(_index(spark, sf_dir).withColumn("one", F.lit(1)), asked, 4, ["one"], ["query_id"])
+    asked = _table(spark, sf_dir, "embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    hits = vector.batch_search(_index(spark, sf_dir), asked, 4, [], ["query_id"])
     best = vector.dedup_hits(hits.select("doc_id", "chunk_id", "section", "score", "query_id", "rank"), [], ["query_id", "rank"])
     return best.select("doc_id", "chunk_id", (F.round("score", 6) + 0.0).alias("score"))
 

@@ -16,7 +16,7 @@ from factloom import cli, shared
 from factloom.config import Settings
 from factloom.functions.text import company_name, doc_id, format_context, stock_code
 from factloom.operators import chunking, extract, facts, records, sections, vector
-from factloom.plans import pipeline
+from factloom.plans import catalog, pipeline
 from factloom.schemas import ABOUT, CHUNK, DEAL_FIELDS, GROUPS, PAGE
 from factloom.sources import files, models
 from factloom.streaming import ingest
@@ -127,6 +127,51 @@ def test_dedup_keeps_the_best_score(spark):
     assert [(r["chunk_id"], r["score"]) for r in got] == [(1, 0.9), (2, 0.7)]
 
 
+def test_dedup_takes_known_scores_first_and_nan_for_the_largest(spark):
+    h = spark.createDataFrame([("d", 1, None, 0), ("d", 1, 0.5, 1), ("d", 2, 0.7, 0), ("d", 2, float("nan"), 1), ("d", 3, None, 2)], "doc_id string, chunk_id int, score double, seq int")
+    assert {r["chunk_id"]: str(r["score"]) for r in vector.dedup_hits(h, [], ["seq"]).collect()} == {1: "0.5", 2: "nan", 3: "None"}
+
+
+def test_a_search_of_all_chunks_by_blocks_is_the_plain_one(spark, monkeypatch):
+    for name, value in (("CHUNKS", 150), ("QUERIES", 20), ("CELLS", 500), ("RUN", 4)):
+        monkeypatch.setattr(vector, name, value)
+    rng = random.Random(4)
+    odd = [None, [], [1.0, None, 1.0], [1.0], [float("nan"), 1.0, 1.0], [float("inf"), 0.0, 1.0], [1e200, -1e200, 1e200], [0.0, 0.0, 0.0]]
+    make = lambda: rng.choice(odd) if rng.random() < 0.2 else [rng.choice([-1.0, 0.0, 0.3, 1.0]) for _ in range(3)]
+    rows = [(rng.choice([None, "a", "b", "ä"]), n, make()) for n in range(400)] + [(None, None, make()) for _ in range(3)]
+    asked = [(n, make()) for n in range(45)]
+
+    def score(q, c):
+        if q is None or c is None or len(q) != len(c) or None in q or None in c:
+            return None
+        total = 0.0
+        for x, y in zip(q, c):
+            total += x * y
+        return total
+
+    def key(r):
+        d, n, s = r
+        return s is None, s == s, -s if s is not None and s == s else 0, d is None, (d or "").encode(), n is None, n or 0
+
+    want = {q: [(d, n, str(s)) for d, n, s in sorted(((d, n, score(v, c)) for d, n, c in rows), key=key)[:4]] for q, v in asked}
+    index = spark.createDataFrame(rows, "doc_id string, chunk_id long, embedding array<double>")
+    hits = vector.batch_search(index, spark.createDataFrame(asked, "query_id long, query array<double>"), 4, [], ["query_id"]).orderBy("query_id", "rank").collect()
+    got = {}
+    for r in hits:
+        got.setdefault(r["query_id"], []).append((r["doc_id"], r["chunk_id"], str(r["score"])))
+    assert got == want
+    assert vector.batch_search(index.limit(0), spark.createDataFrame(asked, "query_id long, query array<double>"), 4, [], ["query_id"]).count() == 0
+
+
+def test_queries_of_all_chunks_are_not_joined_row_by_row(spark, tmp_path):
+    spark.createDataFrame([(n, [float(n), 1.0], n % 10) for n in range(40)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = catalog.vector_multi_query_dedup(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan
+    # query 0 scores every chunk 1, so ties go to the smallest labels; query 20 takes the largest
+    assert sorted(r["chunk_id"] for r in found.collect()) == [0, 10, 20, 30, 36, 37, 38, 39]
+
+
 @pytest.mark.parametrize("reply, valid", [('{"target": "x", "other": 1}', True), ("{}", True), ('{"target": 1}', False), ('{"target": null}', False), ("[]", False), ('{"target"', False)])
 def test_validation_does_not_coerce(spark, reply, valid):
     assert one(spark, records.is_valid(F.col("r"), DEAL_FIELDS), r=reply) is valid
