@@ -32,21 +32,30 @@ HEAD = re.compile(r"(?m)(?:\n\n---\n\n)?^\[page -?\d+ \| section .*\]\n")
 
 
 def stated(field: str, passages: list[str]) -> str:
-    """The value in the first passage that has one; where it ends that passage, as the one that overlaps it most goes on."""
+    """The value in the first passage that has one.
+
+    If it ends that passage it may be cut: the passage that overlaps it most goes on; without one, the first value elsewhere
+    that begins with it and is longer is taken.
+    """
     line = re.compile(rf"(?m)^\s*{field}[^\S\n]*[:：][^\S\n]*(\S.*)$")
-    found = [(p, m) for p in passages if (m := line.search(p))]
+    found = [(p, m, m.group(1).strip()) for p in passages if (m := line.search(p))]
     if not found:
         return ""
-    first, at = found[0]
-    value = at.group(1).strip()
-    more = [m for p, m in found[1:] if at.end() == len(first) and first.endswith(p[: m.start(1) + len(value)])]
-    return max(more, key=lambda m: m.start(1)).group(1).strip() if more else value
+    passage, at, value = found[0]
+    while at.end() == len(passage):
+        others = [x for x in found if x[0] != passage]
+        more = max((x for x in others if passage.endswith(x[0][: x[1].start(1) + len(value)])), key=lambda x: x[1].start(1), default=None)
+        more = more or next((x for x in others if len(x[2]) > len(value) and x[2].startswith(value)), None)
+        if more is None or more[2] == value:
+            break
+        passage, at, value = more
+    return value
 
 
 class RuleExtractor:
     """Deterministic and offline: a field's value is what follows `field:` on a line of a passage.
 
-    A passage may end inside that line; the next one, where it was found too, has the whole value.
+    A passage may end inside that line; other passages then tell the whole value, where they were found too.
     """
 
     def complete_json(self, system: str, user: str) -> str:

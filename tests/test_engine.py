@@ -224,6 +224,12 @@ def test_rules_take_whole_values_of_cut_passages(spark, cut):
     assert {f: v for f, v in got.items() if v} == {"acquirer": "A", "target": "B", "deal_type": "cash and shares"}
 
 
+def test_rules_complete_a_cut_value_by_another_page(spark):
+    passages = ["much\ndeal_type: c", "some\ndeal_type: stock", "other\ndeal_type: ca", "end\ndeal_type: cash"]
+    context = "\n\n---\n\n".join(f"[page {n} | section user]\n{p}" for n, p in enumerate(passages))
+    assert json.loads(extract.RuleExtractor().complete_json("", f"fields:deal_type\n{context}")) == {"deal_type": "cash"}
+
+
 def test_retries(monkeypatch):
     class Bad:
         calls = 0
